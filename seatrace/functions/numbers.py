@@ -22,5 +22,7 @@ def round_exact(x: Column, digits: int) -> Column:
     below = F.floor(product).cast("double")
     part = product - below
     odd = F.pmod(below, F.lit(2.0)) == 1.0
-    up = (part > 0.5) | ((part == 0.5) & ((rest > 0.0) | ((rest == 0.0) & odd)))
+    # rest > 0, or rest = 0 and odd, in one comparison: this expression is often inlined
+    tie_goes_up = rest >= F.when(odd, 0.0).otherwise(1e-300)
+    up = (part > 0.5) | ((part == 0.5) & tie_goes_up)
     return (below + F.when(up, 1.0).otherwise(0.0)) / scale

@@ -48,8 +48,9 @@ def tiles(cells: DataFrame, finest: int, precision: int) -> DataFrame:
     return scaled.select(
         F.lit(precision).alias("precision"),
         cell_text(F.col("cell_id"), precision).alias("cell"),
-        round_exact(lat, 6).alias("lat"),
-        round_exact(lon, 6).alias("lon"),
+        # a centre is never halfway between two 6-digit decimals
+        F.round(lat, 6).alias("lat"),
+        F.round(lon, 6).alias("lon"),
         "count",
         "vessels",
         # counts are at least 1, so the denominator is never 0
