@@ -30,7 +30,7 @@ from seatrace.plans.alerts import detect_alerts, emitted_alerts, speed_alerts, s
 from seatrace.plans.heatmap import heatmap_pyramid, heatmap_tiles
 from seatrace.plans.profiles import vessel_profiles
 from seatrace.plans.routes import route_segments
-from seatrace.plans.traffic import daily_traffic, hourly_traffic, vessel_hours, zone_stats
+from seatrace.plans.traffic import daily_traffic, hourly_traffic, sightings, zone_stats
 from seatrace.session import work_dir
 from seatrace.settings import DEFAULT_BOXES
 from seatrace.sources.tables import (
@@ -57,11 +57,11 @@ def _on_positions(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _hourly(positions: DataFrame) -> DataFrame:
-    return hourly_traffic(vessel_hours(positions))
+    return hourly_traffic(sightings(positions))
 
 
 def _daily(positions: DataFrame) -> DataFrame:
-    return daily_traffic(vessel_hours(positions))
+    return daily_traffic(sightings(positions))
 
 
 

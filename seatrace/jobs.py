@@ -19,7 +19,7 @@ from seatrace.operators.clean import clean_positions, with_date
 from seatrace.plans.heatmap import heatmap_pyramid
 from seatrace.plans.profiles import vessel_profiles
 from seatrace.plans.routes import route_segments
-from seatrace.plans.traffic import daily_traffic, hourly_traffic, vessel_hours
+from seatrace.plans.traffic import daily_traffic, hourly_traffic, sightings, vessel_hours
 from seatrace.session import build_session
 from seatrace.settings import batch_date
 from seatrace.sources.tables import upsert
@@ -58,7 +58,7 @@ def _traffic(positions: DataFrame, target: date | None, counted: Counted):
     rows = clean_positions(
         with_date(positions), target, require_speed=True, select_columns=POSITION_COLUMNS
     )
-    hours = vessel_hours(counted(rows)).persist()
+    hours = vessel_hours(sightings(counted(rows))).persist()
     try:
         yield HOURLY, hourly_traffic(hours)
         yield DAILY, daily_traffic(hours)

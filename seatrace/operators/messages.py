@@ -13,13 +13,15 @@ from seatrace.functions.times import event_time
 
 
 def parse_messages(raw: DataFrame) -> DataFrame:
-    """Parse ``value`` into struct ``d``, keeping the source's other columns.
+    """Parse ``value`` into MetaData, Message and MessageType, keeping other columns.
 
     A field of the wrong type turns null and its siblings survive; text that is not JSON
-    turns into a struct of nulls.
+    turns into nulls. ``inline`` keeps later filters from being pushed below the parser,
+    which would parse each message once per filter.
     """
     others = [F.col(name) for name in raw.columns if name != "value"]
-    return raw.select(F.from_json(F.col("value").cast("string"), schema.MESSAGE).alias("d"), *others)
+    message = F.from_json(F.col("value").cast("string"), schema.MESSAGE)
+    return raw.select(F.inline(F.array(message)), *others)
 
 
 def filter_messages(
@@ -35,13 +37,13 @@ def filter_messages(
     if boxes:
         kept = kept.filter(reduce(Column.__or__, [_in_box(box) for box in boxes]))
     if types:
-        kept = kept.filter(F.col("d.MessageType").isin(list(types)))
+        kept = kept.filter(F.col("MessageType").isin(list(types)))
     return kept
 
 
 def _in_box(box: Sequence[Sequence[float]]) -> Column:
     (lat_a, lon_a), (lat_b, lon_b) = box
-    lat, lon = F.col("d.MetaData.latitude"), F.col("d.MetaData.longitude")
+    lat, lon = F.col("MetaData.latitude"), F.col("MetaData.longitude")
     return lat.between(min(lat_a, lat_b), max(lat_a, lat_b)) & lon.between(
         min(lon_a, lon_b), max(lon_a, lon_b)
     )
@@ -55,15 +57,15 @@ def flatten_positions(parsed: DataFrame, extra: Sequence[str] = ()) -> DataFrame
     """
     received = F.col("timestamp") if "timestamp" in parsed.columns else F.current_timestamp()
     return parsed.select(
-        F.col("d.MetaData.MMSI").alias("mmsi"),
-        F.col("d.MetaData.ShipName").alias("ship_name"),
-        F.col("d.MetaData.latitude").alias("latitude"),
-        F.col("d.MetaData.longitude").alias("longitude"),
-        F.col("d.Message.PositionReport.Sog").alias("speed"),
-        F.col("d.Message.PositionReport.Cog").alias("course"),
-        F.col("d.Message.PositionReport.TrueHeading").alias("heading"),
-        F.col("d.Message.PositionReport.NavigationalStatus").alias("nav_status"),
-        F.coalesce(event_time(F.col("d.MetaData.time_utc")), received).alias("recorded_at"),
+        F.col("MetaData.MMSI").alias("mmsi"),
+        F.col("MetaData.ShipName").alias("ship_name"),
+        F.col("MetaData.latitude").alias("latitude"),
+        F.col("MetaData.longitude").alias("longitude"),
+        F.col("Message.PositionReport.Sog").alias("speed"),
+        F.col("Message.PositionReport.Cog").alias("course"),
+        F.col("Message.PositionReport.TrueHeading").alias("heading"),
+        F.col("Message.PositionReport.NavigationalStatus").alias("nav_status"),
+        F.coalesce(event_time(F.col("MetaData.time_utc")), received).alias("recorded_at"),
         *[F.col(name) for name in extra],
     ).filter(F.col("mmsi").isNotNull())
 

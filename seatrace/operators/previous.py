@@ -18,25 +18,27 @@ def with_previous(
     tie_breakers: Sequence[str] = (),
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """Add struct ``prev`` with ``columns`` of the preceding row; null on a key's first row.
+    """Add ``prev_<name>`` of each column from the preceding row; null on a key's first row.
 
     A plain ``lag`` over the key puts all rows of a busy vessel in one task. Here the
     window runs per (key, time slice). Only the first row of each slice misses its
     predecessor, which is the last row of the key's previous slice: a second window over
     these one-per-slice rows brings it in. Both branches read the same shuffle.
     """
-    carried = F.struct(*columns)
-    slice_no = F.floor(F.unix_micros(order_by) / F.lit(slice_seconds * 1_000_000))
+    micros = F.unix_micros(order_by)
+    slice_start = micros - F.pmod(micros, F.lit(slice_seconds * 1_000_000))
     in_slice = Window.partitionBy(*keys, "__slice").orderBy(order_by, *tie_breakers)
     whole_slice = in_slice.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    marked = df.withColumn("__slice", slice_no).withColumns(
+    marked = df.withColumn("__slice", slice_start).withColumns(
         {
-            "prev": F.lag(carried).over(in_slice),
             "__place": F.row_number().over(in_slice),
-            "__last": F.last(carried).over(whole_slice),
+            **{f"prev_{c}": F.lag(c).over(in_slice) for c in columns},
+            **{f"__last_{c}": F.last(c).over(whole_slice) for c in columns},
         }
     )
     across = Window.partitionBy(*keys).orderBy("__slice")
     within = marked.filter(F.col("__place") > 1)
-    first = marked.filter(F.col("__place") == 1).withColumn("prev", F.lag("__last").over(across))
-    return within.unionByName(first).drop("__slice", "__place", "__last")
+    first = marked.filter(F.col("__place") == 1).withColumns(
+        {f"prev_{c}": F.lag(f"__last_{c}").over(across) for c in columns}
+    )
+    return within.unionByName(first).select(*df.columns, *[f"prev_{c}" for c in columns])

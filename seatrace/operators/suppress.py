@@ -78,23 +78,25 @@ def _kept_times(
         raise ValueError("slices must divide a day")
     quiet = quiet_seconds * 1_000_000
     slice_us, day_us = slice_seconds * 1_000_000, DAY_SECONDS * 1_000_000
-    t = F.unix_micros(time)
+    # Nulls are ruled out here, by filter and in the types: the joins below then infer no
+    # filters of their own, and every use of ``slices`` reads one shuffle.
+    known = F.col(time).isNotNull()
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    t = F.coalesce(F.unix_micros(time), F.lit(NEVER))
     slices = (
-        rows.filter(F.col(time).isNotNull())
+        rows.filter(known)
         .select(
-            *keys,
-            F.floor(t / F.lit(day_us)).alias("day"),
-            F.floor(t / F.lit(slice_us)).alias("slice"),
-            t.alias("t"),
+            *keys, _start(t, day_us).alias("day"), _start(t, slice_us).alias("slice"), t.alias("t")
         )
         .groupBy(*keys, "day", "slice")
         .agg(F.sort_array(F.collect_list("t")).alias("times"))
     )
     summed = slices.select(
-        *keys, "day", "slice", _sum_up(quiet, slice_us)("slice", "times").alias("steps")
+        *keys, "day", "slice", _sum_up(quiet)("slice", "times").alias("steps")
     )
     slice_lists = _steps_in_order(summed, [*keys, "day"], "slice")
-    days = slice_lists.withColumn("steps", _compose(quiet, slice_us)(*_flat("parts")))
+    days = slice_lists.withColumn("steps", _compose(quiet)(*_flat("parts")))
     day_lists = _steps_in_order(days.select(*keys, "day", "steps"), keys, "day")
     day_entry = _entries(day_lists.withColumn("entry", F.lit(NEVER)), keys, "day", quiet)
     slice_entry = _entries(slice_lists.join(day_entry, [*keys, "day"]), [*keys, "day"], "slice", quiet)
@@ -102,6 +104,11 @@ def _kept_times(
     return entered.select(*keys, F.explode(_walk("times", "entry", quiet)).alias("__t"))
 
 
+def _start(t: Column, length: int) -> Column:
+    """Start of the interval of this length that holds t."""
+    return F.coalesce(t - F.pmod(t, F.lit(length)), F.lit(NEVER))
+
+
 def _walk(times: str, entry: str, quiet: int) -> Column:
     """Times of a sorted array that lie more than ``quiet`` after the one kept before."""
     start = F.struct(
@@ -143,19 +150,19 @@ def _entries(lists: DataFrame, keys: list[str], order: str, quiet: int) -> DataF
     )
 
 
-def _sum_up(quiet: int, slice_us: int):
+def _sum_up(quiet: int):
     @F.pandas_udf(STEPS)
-    def udf(slice_no: pd.Series, times: pd.Series) -> pd.DataFrame:
-        return _frame(slice_steps(t, int(s) * slice_us, quiet) for s, t in zip(slice_no, times))
+    def udf(start: pd.Series, times: pd.Series) -> pd.DataFrame:
+        return _frame(slice_steps(t, int(s), quiet) for s, t in zip(start, times))
 
     return udf
 
 
-def _compose(quiet: int, slice_us: int):
+def _compose(quiet: int):
     @F.pandas_udf(STEPS)
     def udf(places: pd.Series, sizes: pd.Series, until: pd.Series, exits: pd.Series) -> pd.DataFrame:
         return _frame(
-            compose_steps(_split(n, u, x), int(p[0]) * slice_us, quiet)
+            compose_steps(_split(n, u, x), int(p[0]), quiet)
             for p, n, u, x in zip(places, sizes, until, exits)
         )
 

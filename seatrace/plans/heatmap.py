@@ -31,18 +31,30 @@ def vessel_cells(
     )
 
 
-def tiles(cells: DataFrame, finest: int, precision: int) -> DataFrame:
-    """Tiles at ``precision`` from ``vessel_cells`` of precision ``finest``.
+def coarser_cells(cells: DataFrame, finest: int, precision: int) -> DataFrame:
+    """``vessel_cells`` at a lower precision; a coarser cell is a prefix of the finer one."""
+    if precision == finest:
+        return cells
+    parent = parent_cell(F.col("cell_id"), finest, finest - precision)
+    return (
+        cells.withColumn("cell_id", parent)
+        .groupBy("date", "cell_id", "mmsi")
+        .agg(F.sum("messages").alias("messages"))
+    )
 
-    A coarser cell is a prefix of the finer one, so the positions are not read again.
-    """
-    counted = (
-        cells.withColumn("cell_id", parent_cell(F.col("cell_id"), finest, finest - precision))
-        .groupBy("date", "cell_id")
-        .agg(F.sum("messages").alias("count"), F.count_distinct("mmsi").alias("vessels"))
+
+def tiles(cells: DataFrame, precision: int) -> DataFrame:
+    """Tiles from ``vessel_cells`` of the same precision."""
+    counted = cells.groupBy("date", "cell_id").agg(
+        F.sum("messages").alias("count"), F.count("*").alias("vessels")
+    )
+    # ``vessels`` never exceeds ``count``; asking for it too lets both uses of ``counted``
+    # read one shuffle. (A filter for that would start dynamic partition pruning, which
+    # runs the aggregate once more.) One row per calendar day of the input, at most 366 a
+    # year: safe to broadcast.
+    hottest = counted.groupBy("date").agg(
+        F.greatest(F.max("count"), F.max("vessels")).alias("max_count")
     )
-    # one row per calendar day of the input, so at most 366 a year: safe to broadcast
-    hottest = counted.groupBy("date").agg(F.max("count").alias("max_count"))
     scaled = counted.join(F.broadcast(hottest), "date")
     lat, lon = cell_center(F.col("cell_id"), precision)
     return scaled.select(
@@ -62,7 +74,7 @@ def tiles(cells: DataFrame, finest: int, precision: int) -> DataFrame:
 def heatmap_tiles(
     positions: DataFrame, precision: int, target_date: date | str | None = None
 ) -> DataFrame:
-    return tiles(vessel_cells(positions, precision, target_date), precision, precision)
+    return tiles(vessel_cells(positions, precision, target_date), precision)
 
 
 def heatmap_pyramid(
@@ -71,7 +83,7 @@ def heatmap_pyramid(
     """Tiles of all precisions from one reading of the positions."""
     finest = max(precisions)
     cells = vessel_cells(positions, finest, target_date)
-    layers = [tiles(cells, finest, p) for p in sorted(precisions)]
+    layers = [tiles(coarser_cells(cells, finest, p), p) for p in sorted(precisions)]
     pyramid = layers[0]
     for layer in layers[1:]:
         pyramid = pyramid.unionByName(layer)

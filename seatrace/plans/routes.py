@@ -30,22 +30,25 @@ def cell_moves(
     """
     cleaned = with_date(clean_positions(positions, target_date, enforce_global_bounds=True))
     cell = cell_id(F.col("latitude"), F.col("longitude"), precision).alias("cell_id")
-    cells = cleaned.select("mmsi", "date", "recorded_at", cell, "latitude", "longitude", "speed")
     carried = ["cell_id"] if max_segment_km is None else ["cell_id", "latitude", "longitude"]
+    cells = cleaned.select("mmsi", "date", "recorded_at", "speed", cell, *carried[1:])
+    # rows of one instant that agree in these columns are interchangeable below
     moves = with_previous(
         cells,
         ["mmsi", "date"],
         "recorded_at",
         carried,
-        tie_breakers=["latitude", "longitude", "speed"],
+        tie_breakers=[*carried, "speed"],
         slice_seconds=slice_seconds,
-    ).filter(F.col("prev.cell_id") != F.col("cell_id"))
+    ).filter(F.col("prev_cell_id") != F.col("cell_id"))
     if max_segment_km is not None:
         jump = haversine_km(
-            F.col("prev.latitude"), F.col("prev.longitude"), F.col("latitude"), F.col("longitude")
+            F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude")
         )
         moves = moves.filter(jump <= max_segment_km)
-    return moves.select("date", F.col("prev.cell_id").alias("from_id"), F.col("cell_id").alias("to_id"), "speed")
+    return moves.select(
+        "date", F.col("prev_cell_id").alias("from_id"), F.col("cell_id").alias("to_id"), "speed"
+    )
 
 
 def route_segments(

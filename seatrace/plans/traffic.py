@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatrace.functions.numbers import round_exact
@@ -48,75 +48,98 @@ def zone_stats(
     )
 
 
-def vessel_hours(positions: DataFrame, target_date: date | str | None = None) -> DataFrame:
-    """One row per (zone, hour, vessel): the common input of both traffic tables.
-
-    Map-side combining leaves a busy vessel or zone with one row per task and hour, so
-    neither is a hot key in the shuffle, and the position scan is read once.
-    """
+def sightings(positions: DataFrame, target_date: date | str | None = None) -> DataFrame:
+    """Cleaned, located positions as rows to add up, zone ``unknown`` left out."""
     cleaned = with_date(clean_positions(positions, target_date, require_speed=True))
     return (
         with_zone(cleaned)
         .filter(F.col("zone") != NO_COORDINATE)
-        .groupBy("zone", "date", F.date_trunc("hour", "recorded_at").alias("hour"), "mmsi")
-        .agg(
-            F.sum("speed").alias("speed_sum"),
-            F.max("speed").alias("max_speed"),
-            F.count("*").alias("message_count"),
+        .select(
+            "zone",
+            "date",
+            F.date_trunc("hour", "recorded_at").alias("hour"),
+            "mmsi",
+            F.col("speed").alias("speed_sum"),
+            F.col("speed").alias("max_speed"),
+            F.lit(1).cast("bigint").alias("message_count"),
         )
     )
 
 
-def _measures() -> list:
-    average = F.sum("speed_sum") / F.sum("message_count")
+def _added_up() -> list[Column]:
     return [
-        F.count_distinct("mmsi").alias("vessel_count"),
-        average.alias("avg_speed"),
+        F.sum("speed_sum").alias("speed_sum"),
         F.max("max_speed").alias("max_speed"),
         F.sum("message_count").alias("message_count"),
     ]
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns(
+def vessel_hours(rows: DataFrame) -> DataFrame:
+    """Sightings added up to one row per (zone, hour, vessel), of the same columns.
+
+    The common input when both traffic tables are built: positions are then read and
+    shuffled once. Map-side combining leaves a busy vessel with one row per task, zone
+    and hour, so it is no hot key.
+    """
+    return rows.groupBy("zone", "date", "hour", "mmsi").agg(*_added_up())
+
+
+def _shaped(df: DataFrame) -> DataFrame:
+    average = F.col("speed_sum") / F.col("message_count")
+    return df.withColumn("avg_speed", average).withColumns(
         {name: round_exact(F.col(name), 2) for name in ("avg_speed", "max_speed")}
     )
 
 
-def hourly_traffic(hours: DataFrame) -> DataFrame:
-    """Per zone and hour (G3), from ``vessel_hours``."""
-    return _rounded(hours.groupBy("zone", "date", "hour").agg(*_measures())).select(
+def hourly_traffic(rows: DataFrame) -> DataFrame:
+    """Per zone and hour (G3), from ``sightings`` or ``vessel_hours``."""
+    hourly = rows.groupBy("zone", "date", "hour").agg(
+        F.count_distinct("mmsi").alias("vessel_count"), *_added_up()
+    )
+    return _shaped(hourly).select(
         "zone", "hour", "date", "vessel_count", "avg_speed", "max_speed", "message_count"
     )
 
 
-def peak_hours(hourly: DataFrame) -> DataFrame:
-    """Hour of day with most vessels per zone and date; the earlier hour wins a tie."""
-    busiest = Window.partitionBy("zone", "date").orderBy(F.desc("vessel_count"), "hour")
+def daily_traffic(rows: DataFrame) -> DataFrame:
+    """Per zone and date with the hour of day that saw most vessels.
+
+    From ``sightings`` or ``vessel_hours``. A vessel's hours in a zone are kept as 24 bits
+    of one integer, so a single aggregate per vessel yields the distinct vessels of the
+    day and of each of its hours; no second reading, ranking or join. Of hours with equal
+    counts the earliest is the peak.
+    """
+    vessel_days = rows.groupBy("zone", "date", "mmsi").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour("hour"))).alias("hours"),
+        *_added_up(),
+    )
+    vessels_by_hour = [
+        F.sum(F.shiftright("hours", hour).bitwiseAND(F.lit(1))).alias(f"h{hour}")
+        for hour in range(24)
+    ]
+    daily = vessel_days.groupBy("zone", "date").agg(
+        F.count("*").alias("vessel_count"), *_added_up(), *vessels_by_hour
+    )
+    counts = F.array(*[F.col(f"h{hour}") for hour in range(24)])
     return (
-        hourly.withColumn("place", F.row_number().over(busiest))
-        .filter(F.col("place") == 1)
+        _shaped(daily)
+        .withColumn("peak_count", F.array_max(counts))
         .select(
             "zone",
             "date",
-            F.hour("hour").alias("peak_hour"),
-            F.col("vessel_count").alias("peak_count"),
+            "vessel_count",
+            "avg_speed",
+            "max_speed",
+            "message_count",
+            (F.array_position(counts, F.col("peak_count")) - 1).cast("int").alias("peak_hour"),
+            "peak_count",
         )
     )
 
 
-def daily_traffic(hours: DataFrame) -> DataFrame:
-    """Per zone and date with its peak hour (G4, E1), from ``vessel_hours``.
-
-    Vessels are counted again over the day, as hourly distinct counts do not add up.
-    """
-    daily = _rounded(hours.groupBy("zone", "date").agg(*_measures()))
-    return daily.join(peak_hours(hourly_traffic(hours)), ["zone", "date"], "left")
-
-
 def zone_traffic(
     positions: DataFrame, target_date: date | str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(hourly, daily) traffic tables (P5); every date present when none is given."""
-    hours = vessel_hours(positions, target_date)
-    return hourly_traffic(hours), daily_traffic(hours)
+    rows = sightings(positions, target_date)
+    return hourly_traffic(rows), daily_traffic(rows)
