@@ -20,7 +20,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,18 +93,30 @@ def _kept_times(
         .groupBy(*keys, "day", "slice")
         .agg(F.sort_array(F.collect_list("t")).alias("times"))
     )
-    summed = slices.select(
-        *keys, "day", "slice", _sum_up(quiet)("slice", "times").alias("steps")
-    )
-    slice_lists = _steps_in_order(summed, [*keys, "day"], "slice")
-    days = slice_lists.withColumn("steps", _compose(quiet)(*_flat("parts")))
-    day_lists = _steps_in_order(days.select(*keys, "day", "steps"), keys, "day")
-    day_entry = _entries(day_lists.withColumn("entry", F.lit(NEVER)), keys, "day", quiet)
+    summed = slices.select(*keys, "day", "slice", _sum_up(quiet)("slice", "times").alias("steps"))
+    slice_lists = _in_order(summed, [*keys, "day"], "slice")
+    days = slice_lists.select(*keys, "day", _compose(quiet)("parts").alias("steps"))
+    day_lists = _in_order(days, keys, "day").withColumn("entry", F.lit(NEVER))
+    day_entry = _entries(day_lists, keys, "day", quiet)
     slice_entry = _entries(slice_lists.join(day_entry, [*keys, "day"]), [*keys, "day"], "slice", quiet)
     entered = slices.join(slice_entry, [*keys, "day", "slice"])
     return entered.select(*keys, F.explode(_walk("times", "entry", quiet)).alias("__t"))
 
 
+def _in_order(steps: DataFrame, keys: list[str], order: str) -> DataFrame:
+    part = F.struct(F.col(order).alias("start"), "steps.until", "steps.exit")
+    return steps.groupBy(*keys).agg(F.array_sort(F.collect_list(part)).alias("parts"))
+
+
+def _entries(lists: DataFrame, keys: list[str], order: str, quiet: int) -> DataFrame:
+    states = _thread(quiet)("entry", "parts")
+    return lists.select(*keys, F.explode(F.arrays_zip("parts.start", states.alias("state"))).alias("p")).select(
+        *keys,
+        F.coalesce("p.start", F.lit(NEVER)).alias(order),
+        F.col("p.state").alias("entry"),
+    )
+
+
 def _start(t: Column, length: int) -> Column:
     """Start of the interval of this length that holds t."""
     return F.coalesce(t - F.pmod(t, F.lit(length)), F.lit(NEVER))
@@ -125,119 +138,155 @@ def _walk(times: str, entry: str, quiet: int) -> Column:
     )
 
 
-def _steps_in_order(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    parts = F.array_sort(F.collect_list(F.struct(order, "steps")))
-    return df.groupBy(*keys).agg(F.transform(parts, lambda p: F.struct(
-        p[order].alias("place"), p["steps"]["until"].alias("until"), p["steps"]["exit"].alias("exit")
-    )).alias("parts"))
-
-
-def _flat(parts: str) -> list[Column]:
-    """Parts as flat arrays: places, steps per part, until, exit."""
-    return [
-        F.transform(parts, lambda p: p["place"]),
-        F.transform(parts, lambda p: F.size(p["until"]).cast("bigint")),
-        F.flatten(F.transform(parts, lambda p: p["until"])),
-        F.flatten(F.transform(parts, lambda p: p["exit"])),
-    ]
-
-
-def _entries(lists: DataFrame, keys: list[str], order: str, quiet: int) -> DataFrame:
-    entry = _thread(quiet)("entry", *_flat("parts")[1:])
-    pairs = F.arrays_zip(_flat("parts")[0].alias("place"), entry.alias("state"))
-    return lists.select(*keys, F.explode(pairs).alias("p")).select(
-        *keys, F.col("p.place").alias(order), F.col("p.state").alias("entry")
-    )
+# The helpers below work on a whole Arrow batch at once. Rows are lifted into disjoint
+# ranges of one long axis (row number times a span no row exceeds), so that one binary
+# search serves all rows.
 
 
 def _sum_up(quiet: int):
-    @F.pandas_udf(STEPS)
-    def udf(start: pd.Series, times: pd.Series) -> pd.DataFrame:
-        return _frame(slice_steps(t, int(s), quiet) for s, t in zip(start, times))
+    @F.arrow_udf(STEPS)
+    def udf(start: pa.Array, times: pa.Array) -> pa.Array:
+        t = _numbers(times.flatten())
+        return _steps(*compose_steps(_lengths(times), t, t, _numbers(start), quiet))
 
     return udf
 
 
 def _compose(quiet: int):
-    @F.pandas_udf(STEPS)
-    def udf(places: pd.Series, sizes: pd.Series, until: pd.Series, exits: pd.Series) -> pd.DataFrame:
-        return _frame(
-            compose_steps(_split(n, u, x), int(p[0]), quiet)
-            for p, n, u, x in zip(places, sizes, until, exits)
-        )
+    @F.arrow_udf(STEPS)
+    def udf(parts: pa.Array) -> pa.Array:
+        part_count, start, step_count, until, exits = _parts(parts)
+        first = np.cumsum(part_count) - part_count
+        counts = np.add.reduceat(step_count, first)
+        return _steps(*compose_steps(counts, until, exits, start[first], quiet))
 
     return udf
 
 
 def _thread(quiet: int):
-    @F.pandas_udf("array<bigint>")
-    def udf(entry: pd.Series, sizes: pd.Series, until: pd.Series, exits: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                entry_states(_split(n, u, x), int(e), quiet)
-                for e, n, u, x in zip(entry, sizes, until, exits)
-            ]
+    @F.arrow_udf("array<bigint>")
+    def udf(entry: pa.Array, parts: pa.Array) -> pa.Array:
+        part_count, start, step_count, until, exits = _parts(parts)
+        states = entry_states(
+            _numbers(entry), part_count, start, step_count, until, exits, quiet
         )
+        return _list(part_count, states)
 
     return udf
 
 
-def _frame(steps) -> pd.DataFrame:
-    return pd.DataFrame([(u, x) for u, x in steps], columns=["until", "exit"])
+def _numbers(array: pa.Array) -> np.ndarray:
+    return array.to_numpy(zero_copy_only=False)
+
+
+def _lengths(array: pa.Array) -> np.ndarray:
+    return _numbers(pc.list_value_length(array)).astype(np.int64)
+
+
+def _parts(parts: pa.Array) -> tuple[np.ndarray, ...]:
+    """Parts per row; start and steps per part; until and exit per step."""
+    start, until, exits = parts.flatten().flatten()
+    return (
+        _lengths(parts),
+        _numbers(start),
+        _lengths(until),
+        _numbers(until.flatten()),
+        _numbers(exits.flatten()),
+    )
+
 
+def _list(counts: np.ndarray, values: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
-def _split(sizes, until, exits) -> list[tuple[np.ndarray, np.ndarray]]:
-    cuts = np.cumsum(sizes)[:-1]
-    return list(zip(np.split(until, cuts), np.split(exits, cuts)))
 
+def _steps(counts: np.ndarray, until: np.ndarray, exits: np.ndarray) -> pa.Array:
+    return pa.StructArray.from_arrays([_list(counts, until), _list(counts, exits)], ["until", "exit"])
 
-def slice_steps(times: np.ndarray, start: int, quiet: int) -> tuple[np.ndarray, np.ndarray]:
-    """Step function of one slice with sorted ``times`` that begins at ``start``.
 
-    Step i: an entry state whose quiet period ends before ``until[i]`` (and not before
-    ``until[i-1]``) leaves the slice with ``exit[i]`` as last kept time.
+def compose_steps(
+    counts: np.ndarray, until: np.ndarray, exits: np.ndarray, start: np.ndarray, quiet: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row, one step function for the consecutive parts whose steps are given in order.
+
+    A row has ``counts`` steps and its first part begins at ``start``. Step i says: an
+    entry state whose quiet period ends before ``until[i]``, and not before ``until[i-1]``,
+    leaves with ``exit[i]``, at or after ``until[i]``, as last kept time. A single time t is
+    the step (t, t).
     """
-    after = np.searchsorted(times, times + quiet, side="right")
-    place = np.arange(len(times))
+    row = np.repeat(np.arange(len(counts)), counts)
+    base = start[row]
+    span = int((exits - base).max()) + quiet + 2
+    lift = row * span - base
+    ends = np.cumsum(counts)[row]
+    lifted = until + lift
+    after = np.searchsorted(lifted, exits + lift + quiet, side="right")
+    place = np.arange(len(until))
     while True:
         step = after[place]
-        moving = step < len(times)
+        moving = step < ends
         if not moving.any():
             break
         place = np.where(moving, step, place)
-    return _trim(times, times[place], start + quiet)
-
-
-def compose_steps(
-    parts: list[tuple[np.ndarray, np.ndarray]], start: int, quiet: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """One step function for consecutive parts, the first of which begins at ``start``."""
-    until, exits = parts[-1]
-    for part_until, part_exit in reversed(parts[:-1]):
-        step = np.searchsorted(until, part_exit + quiet, side="right")
-        reached = step < len(until)
-        onward = np.where(reached, exits[np.minimum(step, len(until) - 1)], part_exit)
-        # an entry state that outlasts the first part meets the later ones directly
-        until, exits = np.concatenate([part_until, until]), np.concatenate([onward, exits])
-    return _trim(until, exits, start + quiet)
+    exits = exits[place]
+    # an entry state lies before the start: steps past the first quiet period are unused
+    reach = np.searchsorted(lifted, np.arange(len(counts)) * span + quiet, side="left")
+    used = np.flatnonzero(np.arange(len(until)) <= reach[row])
+    row, until, exits = row[used], until[used], exits[used]
+    # neighbours with the same exit act as one step
+    kept = np.append((exits[1:] != exits[:-1]) | (row[1:] != row[:-1]), True)
+    return np.bincount(row[kept], minlength=len(counts)), until[kept], exits[kept]
 
 
 def entry_states(
-    parts: list[tuple[np.ndarray, np.ndarray]], entry: int, quiet: int
-) -> list[int]:
-    """Last kept time on entry to each part."""
-    states = []
-    for until, exits in parts:
-        states.append(entry)
-        step = int(np.searchsorted(until, entry + quiet, side="right"))
-        if step < len(until):
-            entry = int(exits[step])
-    return states
-
-
-def _trim(until: np.ndarray, exits: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """Drop steps no entry state can choose and join neighbours with the same exit."""
-    used = int(np.searchsorted(until, reach, side="left")) + 1
-    until, exits = until[:used], exits[:used]
-    last_of_run = np.append(exits[1:] != exits[:-1], True)
-    return until[last_of_run], exits[last_of_run]
+    entry: np.ndarray,
+    part_count: np.ndarray,
+    start: np.ndarray,
+    step_count: np.ndarray,
+    until: np.ndarray,
+    exits: np.ndarray,
+    quiet: int,
+) -> np.ndarray:
+    """Last kept time on entry to each part, for rows of consecutive parts.
+
+    Any time more than the quiet period before a row's start stands for "never".
+    """
+    rows = len(entry)
+    part_end = np.cumsum(part_count)
+    first_part = part_end - part_count
+    part = np.repeat(np.arange(len(step_count)), step_count)
+    row = np.repeat(np.arange(rows), part_count)[part]
+    step_end = np.cumsum(step_count)[part_end - 1]
+    first_step = np.append(0, step_end[:-1])
+    base = start[first_part] - quiet - 1
+    span = int((exits - base[row]).max()) + quiet + 2
+    if rows > 1 and rows * span >= 1 << 62:
+        half = rows // 2
+        cut_part, cut_step = first_part[half], first_step[half]
+        return np.concatenate(
+            [
+                entry_states(
+                    entry[:half], part_count[:half], start[:cut_part], step_count[:cut_part],
+                    until[:cut_step], exits[:cut_step], quiet,
+                ),
+                entry_states(
+                    entry[half:], part_count[half:], start[cut_part:], step_count[cut_part:],
+                    until[cut_step:], exits[cut_step:], quiet,
+                ),
+            ]
+        )
+    lift = np.arange(rows) * span - base
+    lifted_until, lifted_exit = until + lift[row], exits + lift[row]
+    state = np.maximum(entry, base) + lift
+    states = np.repeat(np.arange(rows) * span, part_count)
+    states[first_part] = state
+    moving = np.arange(rows)
+    while len(moving):
+        step = np.searchsorted(lifted_until, state[moving] + quiet, side="right")
+        found = step < step_end[moving]
+        moving, step = moving[found], step[found]
+        state[moving] = lifted_exit[step]
+        following = part[step] + 1
+        inside = following < part_end[moving]
+        states[following[inside]] = state[moving[inside]]
+    return np.maximum.accumulate(states) - np.repeat(lift, part_count)
