@@ -34,9 +34,16 @@ FROM events JOIN (VALUES
 
 
 def positions_of(events: DataFrame) -> DataFrame:
-    """Flat positions of an ``events`` DataFrame, batch or stream."""
-    rows = events.sparkSession.sql(POSITIONS_SQL.replace("FROM events", "FROM {events}"), events=events)
-    return rows.withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
+    """Flat positions of an ``events`` DataFrame, batch or stream.
+
+    ``inline`` finishes each row before a query filters it. A stored position table has
+    plain columns; without this, every filter would repeat the CASE expressions and the
+    generated code would grow past what the JVM compiles.
+    """
+    text = POSITIONS_SQL.replace("FROM events", "FROM {events}")
+    rows = events.sparkSession.sql(text, events=events)
+    typed = rows.withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
+    return typed.select(F.inline(F.array(F.struct("*"))))
 
 
 def load_positions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,20 +32,22 @@ def cell_moves(
     cell = cell_id(F.col("latitude"), F.col("longitude"), precision).alias("cell_id")
     carried = ["cell_id"] if max_segment_km is None else ["cell_id", "latitude", "longitude"]
     cells = cleaned.select("mmsi", "date", "recorded_at", "speed", cell, *carried[1:])
-    # rows of one instant that agree in these columns are interchangeable below
+    moved = F.col("prev_cell_id") != F.col("cell_id")
+    if max_segment_km is not None:
+        jump = haversine_km(
+            F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude")
+        )
+        moved = moved & (jump <= max_segment_km)
+    # rows of one instant that agree in all carried columns and speed are interchangeable
     moves = with_previous(
         cells,
         ["mmsi", "date"],
         "recorded_at",
         carried,
         tie_breakers=[*carried, "speed"],
+        where=moved,
         slice_seconds=slice_seconds,
-    ).filter(F.col("prev_cell_id") != F.col("cell_id"))
-    if max_segment_km is not None:
-        jump = haversine_km(
-            F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude")
-        )
-        moves = moves.filter(jump <= max_segment_km)
+    )
     return moves.select(
         "date", F.col("prev_cell_id").alias("from_id"), F.col("cell_id").alias("to_id"), "speed"
     )
