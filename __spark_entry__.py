@@ -34,7 +34,6 @@ from seatrace.plans.traffic import daily_traffic, hourly_traffic, sightings, zon
 from seatrace.session import work_dir
 from seatrace.settings import DEFAULT_BOXES
 from seatrace.sources.tables import (
-    read_positions_for_date,
     read_table,
     settle_positions,
     upsert,
@@ -111,19 +110,14 @@ def _track(positions: DataFrame) -> DataFrame:
 
 
 def _settled_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping batches of the trajectory log, settled day by day, then scanned."""
+    """Two overlapping batches of the trajectory log, settled, then scanned."""
     log, table = _fresh(spark, "track-log"), _fresh(spark, "positions")
     rows = with_date(load_positions(spark, sf_dir)).filter(F.col("mmsi").isNotNull())
     rows = rows.select(*schema.POSITION_COLUMNS, "date")
     last_days = F.col("date") >= F.lit("2024-01-29").cast("date")
     write_batch(rows.filter(last_days), log, 0, ["date"])
     write_batch(rows, log, 1, ["date"])
-    settle_positions(spark, log, table, "2024-01-29")
-    settle_positions(spark, log, table, "2024-01-30")
-    scan = read_positions_for_date(spark, table, "2024-01-29", enforce_global_bounds=True)
-    return scan.unionByName(
-        read_positions_for_date(spark, table, "2024-01-30", enforce_global_bounds=True)
-    )
+    return clean_positions(settle_positions(spark, log, table), enforce_global_bounds=True)
 
 
 def _upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +257,7 @@ def queries() -> dict[str, Query]:
         "tiles_bbox": _on_positions(
             lambda p: reads.tiles_in_box(heatmap_tiles(p, 6), 36.0, 41.0, -6.0, 14.0)
         ),
-        "zone_hours": _on_positions(lambda p: reads.zone_hours(_hourly(p), "alboran")),
+        "zone_hours": _on_positions(lambda p: reads.zone_hours(_hourly(p))),
         "busiest_zones": _on_positions(lambda p: reads.busiest_zones(_daily(p), 3)),
         "zone_trend": _on_positions(lambda p: reads.zone_trend(_daily(p))),
         "vessel_track": _on_positions(_track),

@@ -185,10 +185,10 @@ SELECT a.* EXCLUDE (expected_speed) FROM alerts a JOIN emitted USING (mmsi, type
 
 
 def _window(seconds: int) -> str:
-    step = f"to_timestamp(floor(epoch(recorded_at)/{seconds})*{seconds})::TIMESTAMP"
+    start = f"make_timestamp(CAST(floor(epoch_us(recorded_at)/{seconds}e6) AS BIGINT)*{seconds}000000)"
     return f"""WITH {POSITIONS},
 windows AS (
-  SELECT {_zone()} AS zone, make_timestamp(CAST(floor(epoch_us(recorded_at)/{seconds}e6) AS BIGINT)*{seconds}000000) AS window_start, speed
+  SELECT {_zone()} AS zone, {start} AS window_start, speed
   FROM positions WHERE mmsi IS NOT NULL)
 SELECT zone, window_start, window_start + INTERVAL {seconds} SECOND AS window_end,
   coalesce(avg(speed), 0) AS avg_speed, count(*) AS vessel_count,
@@ -246,7 +246,7 @@ def statements() -> dict[str, str]:
         "clean_positions_strict": f"""{clean}
 SELECT event_id, mmsi, latitude, longitude, speed FROM bounded WHERE speed IS NOT NULL""",
         "settled_position_scan": f"""{clean}
-SELECT {FLAT}, date FROM bounded WHERE date IN (DATE '2024-01-29', DATE '2024-01-30')""",
+SELECT {FLAT}, date FROM bounded""",
         "parse_flatten": f"WITH {POSITIONS}, {_message()} SELECT {FLAT} FROM messages WHERE mmsi IS NOT NULL",
         "filter_messages_bbox": f"""WITH {POSITIONS}, {_message()}
 SELECT {FLAT} FROM messages WHERE mmsi IS NOT NULL AND message_type = 'PositionReport'
@@ -287,7 +287,7 @@ SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY window_date
         "tiles_hottest": f"{tiles6} SELECT * FROM tiles6 ORDER BY date, precision, intensity DESC, cell",
         "tiles_bbox": f"""{tiles6}
 SELECT * FROM tiles6 WHERE lat BETWEEN 36 AND 41 AND lon BETWEEN -6 AND 14""",
-        "zone_hours": f"{traffic} SELECT * FROM hourly WHERE zone = 'alboran' ORDER BY hour",
+        "zone_hours": f"{traffic} SELECT * FROM hourly ORDER BY zone, hour",
         "busiest_zones": f"""{traffic}
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY date
   ORDER BY vessel_count DESC, zone) AS INTEGER) AS place FROM daily) WHERE place <= 3""",

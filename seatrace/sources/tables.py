@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatrace.operators.clean import clean_positions, with_date
+from seatrace.operators.clean import clean_positions, on_date
 from seatrace.operators.latest import newest_per_key
 from seatrace.schema import KEYS
 from seatrace.session import ensure_checkpoint_dir
@@ -56,7 +56,9 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
     _overwrite_partitions(stamped, path, ["batch_id", *partition_by])
 
 
-def read_log(spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str] = ("batch_id",)) -> DataFrame | None:
+def read_log(
+    spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str] = ("batch_id",)
+) -> DataFrame | None:
     """Newest version of every key in a log (B9: last write wins)."""
     log = read_table(spark, path)
     if log is None:
@@ -104,23 +106,24 @@ def _laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]
 
 
 def settle_positions(
-    spark: SparkSession, log_path: str, path: str, target_date: date | str
+    spark: SparkSession, log_path: str, path: str, target_date: date | str | None = None
 ) -> DataFrame | None:
-    """One finished day of the trajectory log as a keyed partition.
+    """Finished days of the trajectory log as keyed partitions (B2, W6); None means all days.
 
     Unique on (mmsi, date, recorded_at). Files cover ranges of (mmsi, recorded_at), so
     neither a busy vessel nor the day is bound to one task or file, and a vessel's track
-    is found by file statistics. Returns the day's rows as stored.
+    is found by file statistics. Returns the settled rows as stored.
     """
     log = read_table(spark, log_path)
     if log is None:
         return None
-    day = log.filter(F.col("date") == F.lit(str(target_date)).cast("date"))
-    rows = newest_per_key(
-        day.withColumn("batch_id", F.col("batch_id").cast("bigint")), KEYS["positions"], ["batch_id"]
-    ).drop("batch_id")
-    ordered = rows.repartitionByRange("date", "mmsi", "recorded_at").sortWithinPartitions(
+    rows = log.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    if target_date is not None:
+        rows = on_date(rows, target_date)
+    unique = newest_per_key(rows, KEYS["positions"], ["batch_id"]).drop("batch_id")
+    ordered = unique.repartitionByRange("date", "mmsi", "recorded_at").sortWithinPartitions(
         "date", "mmsi", F.desc("recorded_at")
     )
     _overwrite_partitions(ordered, path, ["date"])
-    return spark.read.parquet(path).filter(F.col("date") == F.lit(str(target_date)).cast("date"))
+    settled = spark.read.parquet(path)
+    return settled if target_date is None else on_date(settled, target_date)
