@@ -1,6 +1,6 @@
 """Compare native plans with the same work done by row UDFs and a driver-side collect.
 
-``python benchmarks_rowudf.py POSITIONS_DIR`` where the folder holds a position table.
+``python compare_rows.py POSITIONS_DIR`` where the folder holds a position table.
 The row-at-a-time variants are written here only to be measured against.
 """
 
