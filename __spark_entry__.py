@@ -5,12 +5,17 @@ Every query runs over the whole ``events`` table, read as vessel positions (fixt
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 import oracles
 from fixtures import load_positions, stream_positions
 from seatrace import jobs, schema
@@ -24,6 +29,7 @@ from seatrace.operators.messages import (
     parse_messages,
     to_messages,
 )
+from seatrace.operators import suppress
 from seatrace.operators.zone_join import with_zone, with_zone_table
 from seatrace.plans import reads
 from seatrace.plans.alerts import detect_alerts, emitted_alerts, speed_alerts, stopped_alerts
@@ -41,6 +47,9 @@ from seatrace.sources.tables import (
 )
 from seatrace.streaming import jobs as streams
 
+# executors need not have the package installed: its only Python tasks travel by value
+cloudpickle.register_pickle_by_value(suppress)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 ONCE = {"availableNow": True}
