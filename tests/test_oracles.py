@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as registered
+import oracles
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,12 +15,15 @@ def connection():
 
 
 def test_names_match():
-    assert set(registered.oracle_sql()) == set(registered.queries())
+    assert set(oracles.statements()) == set(registered.position_queries())
+    assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracles.statements()))
 def test_equals_sql(spark, connection, name):
-    found = compare(spark, connection, name, SF_DIR, registered.queries(), registered.oracle_sql())
+    found = compare(
+        spark, connection, name, SF_DIR, registered.position_queries(), oracles.statements()
+    )
     assert found is None
 
 
