@@ -34,5 +34,115 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM co
 """
 
 
+
+RULES = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t),
+grams AS (SELECT doc_id, i, [w[i], w[i + 1], w[i + 2]] AS g FROM starts),
+twice AS (SELECT doc_id, i FROM (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1),
+covered AS (
+  SELECT doc_id, CAST(count(DISTINCT i + k) AS BIGINT) AS n
+  FROM twice, (VALUES (0), (1), (2)) AS o(k) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(length(regexp_replace(text, '[^!]', '', 'g')) AS BIGINT) AS n_exclamations,
+         CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         coalesce(covered.n, 0) AS n_repeat_words
+  FROM t LEFT JOIN covered USING (doc_id)),
+j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > 4 * n_words
+            OR (n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines)
+            OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words))
+            OR 10 * n_exclamations > 3 * n_words) AS kept
+FROM j
+"""
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+CHAT = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(text,
+      '\', '\\'), '<|im_start|>', '<\|im_start|>'), '<|im_end|>', '<\|im_end|>'),
+      '<|endoftext|>', '<\|endoftext|>'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'),
+      '[/INST]', '[\/INST]'), '<<SYS>>', '<\<SYS>>'), '<</SYS>>', '<\</SYS>>') AS escaped FROM r),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+         string_agg('<|im_start|>' || role || chr(10) || escaped || '<|im_end|>' || chr(10), ''
+                    ORDER BY turn, role, text) AS formatted,
+         string_agg(role || ',', '' ORDER BY turn, role, text) AS roles
+  FROM e GROUP BY conv_id)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(turns) AS turns_sha256,
+       CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(length(formatted) AS BIGINT) AS formatted_chars,
+       regexp_full_match(roles, '(system,)?(user,assistant,)+') AS valid
+FROM g
+"""
+
+BYTES = """
+WITH t AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+places AS (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM t),
+s AS (SELECT doc_id, i, CASE WHEN 2 * i + 100 <= length(h) THEN substr(h, 2 * i + 1, 100) END AS w,
+             substr(h, 2 * i + 1, 2) AS b FROM places),
+first AS (SELECT w, min(doc_id) AS d FROM s WHERE w IS NOT NULL GROUP BY w),
+f AS (SELECT s.doc_id, s.i, s.b, coalesce(first.d < s.doc_id, false) AS hit FROM s LEFT JOIN first USING (w)),
+c AS (SELECT *, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM c),
+g AS (SELECT doc_id, count(*) AS n, count_if(gone) AS r, count_if(opens) AS o,
+             string_agg(b, '' ORDER BY i) FILTER (NOT gone) AS kept FROM e GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(o, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM t LEFT JOIN g USING (doc_id)
+"""
+
+WORDS = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM t),
+s AS (SELECT doc_id, i, w[i] AS b, CASE WHEN i + 49 <= len(w) THEN array_to_string(w[i : i + 49], ' ') END AS x FROM places),
+first AS (SELECT x, min(doc_id) AS d FROM s WHERE x IS NOT NULL GROUP BY x),
+f AS (SELECT s.doc_id, s.i, s.b, coalesce(first.d < s.doc_id, false) AS hit FROM s LEFT JOIN first USING (x)),
+c AS (SELECT *, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f),
+g AS (SELECT doc_id, count(*) AS n, count_if(gone) AS r, string_agg(b, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+      FROM c GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_words, CAST(coalesce(r, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN g USING (doc_id)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op10_source_mixing": MIXING}
+    return {
+        "op1_suffix_array_dedup": BYTES,
+        "op5_substring_dedup": WORDS,
+        "op7_quality_rules": RULES,
+        "op8_exact_top_k": TOP_K,
+        "op9_chat_format": CHAT,
+        "op10_source_mixing": MIXING,
+    }

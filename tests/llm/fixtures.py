@@ -1,0 +1,58 @@
+"""Small documents with nulls, empties, ties, repeats, long texts and clashing column names."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import DataFrame, SparkSession
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, fp long, node long, "
+    "size long, copies long, chunk long, kept string, n long, score double, failed long, "
+    "_rest long, quality int"
+)
+
+
+def texts(seed: int = 7) -> list[tuple[int | None, str | None, str | None]]:
+    """(doc_id, text, source): copies, near copies, shared passages and odd texts."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("abcdeé", k=rng.randint(1, 6))) for _ in range(60)]
+
+    def prose(n: int) -> str:
+        return "".join(rng.choice(vocabulary) + rng.choice([" ", " ", " ", "\n", "  ", "\t"]) for _ in range(n))
+
+    passage, other = prose(80), prose(70)
+    rows: list[tuple[int | None, str | None, str | None]] = []
+    for i in range(30):
+        rows.append((100 + i, prose(rng.randint(0, 160)), f"s{i % 4}"))
+    copied = prose(120)
+    for i in range(8):
+        rows.append((20 + i, copied, "s0"))
+    for i in range(8):
+        words = copied.split(" ")
+        words[rng.randrange(len(words))] = "changed"
+        rows.append((40 + i, " ".join(words), "s1"))
+    for i in range(12):
+        rows.append((60 + i, prose(9) + passage + prose(7) + (other if i % 2 else "") + prose(3), "s2"))
+    rows += [
+        (1, None, "s1"), (2, "", None), (3, "   \n\t ", None), (4, "one", "s3"), (5, "One", "s3"),
+        (6, "two words", None), (7, "aé" * 400, "s0"), (8, "aé" * 300, "s0"), (9, "x" * 49, "s0"),
+        (10, "x" * 50, "s0"), (11, "x" * 51, "s0"), (12, "日本語 " * 90, "s4"), (13, "a b c " * 200, "s4"),
+        (None, copied, "s5"), (None, None, None), (14, prose(3000), "s0"), (15, "end\n" * 60, "s4"),
+        (15, "end\n" * 60, "s4"), (16, "  word\x0bword\x0cword\rword ### ||", "s3"),
+        (17, "\U0001f642" * 60, "s3"), (18, "\U0001f642" * 60 + "!", "s3"),
+    ]
+    rng.shuffle(rows)
+    return rows
+
+
+def documents(spark: SparkSession, rows=None) -> DataFrame:
+    rows = texts() if rows is None else rows
+    filled = [
+        (i, t, "en", s, len(t or ""), 1, 2, 3, 4, 5, "kept", 6, 0.5, 7, 8, 1) for i, t, s in rows
+    ]
+    return spark.createDataFrame(filled, SCHEMA).repartition(3)
+
+
+def collected(df: DataFrame) -> list[tuple]:
+    return sorted((tuple(row) for row in df.collect()), key=repr)
