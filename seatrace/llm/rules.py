@@ -93,7 +93,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 x -> cast(x & (shiftleft(1L, _bits) - 1) AS int)))"""
         ),
     )
-    return starts.select(
+    row = F.struct(
         "doc_id",
         "n_words",
         "word_chars",
@@ -106,6 +106,8 @@ def measured(docs: DataFrame) -> DataFrame:
         F.size("_lines").cast("long").alias("n_lines"),
         "n_exclamations",
     )
+    # inline keeps a later filter from being pushed below, where it would measure again
+    return starts.select(F.inline(F.array(row)))
 
 
 def ledger(docs: DataFrame) -> DataFrame:
