@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seatrace.llm.bpe import shared_ranks, text_blocks
@@ -66,19 +66,25 @@ def write_token_files(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     rows.mapInArrow(
         lambda batches: _files(batches, ranks.value, pattern, separator),
-        "kind string, file int, number long, data binary",
+        "kind string, file long, number long, data binary",
     ).write.option("compression", "zstd").partitionBy("kind").parquet(path)
 
 
-def read_blocks(spark, path: str) -> DataFrame:
+def _of_kind(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    # the kind is a folder, so only its files are opened; without rows there is none
+    rows = spark.read.schema("kind string, file long, number long, data binary").parquet(path)
+    return rows.filter(F.col("kind") == kind).drop("kind")
+
+
+def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """(file, number, data) of the token files at ``path``."""
-    return spark.read.schema("file int, number long, data binary").parquet(f"{path}/kind=tokens")
+    return _of_kind(spark, path, "tokens")
 
 
-def read_documents(spark, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(file, ordinal, doc_id): which documents were written, in order."""
-    rows = spark.read.schema("file int, number long, data binary").parquet(f"{path}/kind=documents")
-    return rows.mapInArrow(_listed, "file int, ordinal long, doc_id long")
+    rows = _of_kind(spark, path, "documents")
+    return rows.mapInArrow(_listed, "file long, ordinal long, doc_id long")
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +93,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = np.frombuffer(data, "<i8")
             yield pa.RecordBatch.from_pydict(
                 {
-                    "file": pa.array(np.full(len(ids), file, np.int32)),
+                    "file": pa.array(np.full(len(ids), file)),
                     "ordinal": pa.array(np.arange(number, number + len(ids))),
                     "doc_id": pa.array(ids),
                 }
@@ -119,11 +125,11 @@ def count_tokens(blocks: DataFrame, separator: int) -> DataFrame:
     spans of SPAN_BLOCKS blocks and then over the spans of a file.
     """
     scanned = checkpointed(
-        blocks.select("file", "number", "data")
+        blocks.select(F.col("file").cast("long"), F.col("number").cast("long"), "data")
         .filter("file is not null and number is not null")
         .mapInArrow(
             lambda batches: _scanned(batches, separator),
-            "file int, number long, size long, ends array<long>",
+            "file long, number long, size long, ends array<long>",
         )
         .withColumn("span", F.floor(F.col("number") / SPAN_BLOCKS))
     )
