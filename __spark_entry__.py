@@ -11,14 +11,13 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracles
-from fixtures import load_positions, stream_positions
+from fixtures import load_positions
 from seatrace import jobs, schema
 from seatrace.functions.cells import with_cell, with_cell_center
 from seatrace.functions.zones import SEA_ZONES
@@ -30,7 +29,6 @@ from seatrace.operators.messages import (
     parse_messages,
     to_messages,
 )
-from seatrace.operators import suppress
 from seatrace.operators.zone_join import with_zone, with_zone_table
 from seatrace.plans import reads
 from seatrace.plans.alerts import detect_alerts, emitted_alerts, speed_alerts, stopped_alerts
@@ -40,6 +38,7 @@ from seatrace.plans.routes import route_segments
 from seatrace.plans.traffic import daily_traffic, hourly_traffic, sightings, zone_stats
 from seatrace.session import work_dir
 from seatrace.settings import DEFAULT_BOXES
+from seatrace.sources.streams import read_message_files
 from seatrace.sources.tables import (
     read_table,
     settle_positions,
@@ -57,9 +56,6 @@ except ImportError:
         raise
     training = None
 
-# executors need not have the package installed: its only Python tasks travel by value
-cloudpickle.register_pickle_by_value(suppress)
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 ONCE = {"availableNow": True}
@@ -162,53 +158,116 @@ def _job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positions that went through message text, as a stream."""
-    raw = to_messages(stream_positions(spark, sf_dir))
-    return flatten_positions(parse_messages(raw))
+def _feed(spark: SparkSession, sf_dir: str, days: list[tuple[int, int]]) -> DataFrame:
+    """Positions as a stream that sends one span of days of January per micro-batch, in the
+    order given. They went through message text."""
+    folder = _fresh(spark, "feed")
+    rows = to_messages(load_positions(spark, sf_dir).withColumn("day", F.dayofmonth("recorded_at")), None, ["day"])
+    for first, last in days:
+        part = rows.filter(F.col("day").between(first, last)).select("value")
+        part.coalesce(1).write.mode("append").text(folder)
+    return flatten_positions(parse_messages(read_message_files(spark, folder, 1)))
+
+
+SPANS = [(1, 5), (6, 10), (11, 15), (16, 20), (21, 25), (26, 31)]
 
 
 def _stream_zone_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _fresh(spark, "zone-stats")
-    query = streams.start_zone_stats(
-        _streamed(spark, sf_dir), log, _fresh(spark, "checkpoint"), ONCE
-    )
-    query.awaitTermination()
+    streams.start_zone_stats(
+        _feed(spark, sf_dir, SPANS), log, _fresh(spark, "checkpoint"), ONCE
+    ).awaitTermination()
+    return streams.read_zone_stats(spark, log)
+
+
+def _stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half of the month comes under a new checkpoint; both logs are folded."""
+    log = _fresh(spark, "zone-stats")
+    for spans in (SPANS[:3], SPANS[3:]):
+        streams.start_zone_stats(
+            _feed(spark, sf_dir, spans), log, _fresh(spark, "checkpoint"), ONCE
+        ).awaitTermination()
+    streams.fold(spark, "zone_stats", log)
+    return streams.read_zone_stats(spark, log)
+
+
+def _stream_zone_stats_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days come in reverse, so most rows are behind the watermark; then days are settled."""
+    track, latest, log = (_fresh(spark, name) for name in ("track", "latest", "zone-stats"))
+    backwards = SPANS[::-1]
+    streams.start_zone_stats(
+        _feed(spark, sf_dir, backwards), log, _fresh(spark, "checkpoint"), ONCE
+    ).awaitTermination()
+    streams.start_live_positions(
+        _feed(spark, sf_dir, backwards), track, latest, _fresh(spark, "checkpoint"), ONCE
+    ).awaitTermination()
+    streams.settle_zone_stats(spark, track, log, 0)
     return streams.read_zone_stats(spark, log)
 
 
 def _stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     track, latest = _fresh(spark, "track"), _fresh(spark, "latest")
-    query = streams.start_live_positions(
-        _streamed(spark, sf_dir), track, latest, _fresh(spark, "checkpoint"), ONCE
-    )
-    query.awaitTermination()
+    streams.start_live_positions(
+        _feed(spark, sf_dir, SPANS), track, latest, _fresh(spark, "checkpoint"), ONCE
+    ).awaitTermination()
+    streams.fold(spark, "latest", latest)
     return streams.read_latest(spark, latest)
 
 
 def _stream_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     track, latest = _fresh(spark, "track"), _fresh(spark, "latest")
-    query = streams.start_live_positions(
-        _streamed(spark, sf_dir), track, latest, _fresh(spark, "checkpoint"), ONCE
-    )
-    query.awaitTermination()
+    streams.start_live_positions(
+        _feed(spark, sf_dir, SPANS), track, latest, _fresh(spark, "checkpoint"), ONCE
+    ).awaitTermination()
+    streams.fold(spark, "track", track)
     return streams.read_track(spark, track)
 
 
 def _stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _fresh(spark, "alerts")
-    query = streams.start_alerts(
-        _streamed(spark, sf_dir),
+    streams.start_alerts(
+        _feed(spark, sf_dir, SPANS),
         lambda: vessel_profiles(load_positions(spark, sf_dir)),
         log,
         _fresh(spark, "checkpoint"),
         ONCE,
         quiet_seconds=DAY,
-    )
-    query.awaitTermination()
+    ).awaitTermination()
     return streams.read_alerts(spark, log)
 
 
+def _job(name: str, table: str) -> Query:
+    """A result table as the job stores it, after a run over every date and a rerun."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = _fresh(spark, "tables")
+        for _ in range(2):
+            jobs.run_job(spark, name, load_positions(spark, sf_dir), tables)
+        return read_table(spark, f"{tables}/{table}").drop("updated_at", "part")
+
+    return query
+
+
+def _rounded_profiles(profiles: DataFrame) -> DataFrame:
+    return profiles.select(
+        "mmsi", oracles.spark_round6("avg_speed"), oracles.spark_round6("speed_std_dev")
+    )
+
+
+def _rounded_alerts(alerts: DataFrame) -> DataFrame:
+    return alerts.withColumn("expected_speed", oracles.spark_round6("expected_speed"))
+
+
+def _key_values(positions: DataFrame) -> DataFrame:
+    """Keys and the JSON values, parsed: two engines print a small double in two ways."""
+    fields = (
+        "mmsi int, ship_name string, latitude double, longitude double, speed double, "
+        "course double, heading int, nav_status int, updated_at string"
+    )
+    pairs = to_key_value(latest_positions(positions))
+    return pairs.select("key", F.from_json("value", fields).alias("v")).select("key", "v.*")
+
+
 def queries() -> dict[str, Query]:
     found = position_queries()
     if training:
@@ -253,28 +312,22 @@ def position_queries() -> dict[str, Query]:
             lambda p: route_segments(p, max_segment_km=500.0)
         ),
         "vessel_profiles": _on_positions(
-            lambda p: vessel_profiles(p).select(
-                "mmsi",
-                oracles.spark_round6("avg_speed"),
-                oracles.spark_round6("speed_std_dev"),
-            )
+            lambda p: _rounded_profiles(vessel_profiles(p))
         ),
         "alerts_stopped": _on_positions(stopped_alerts),
         "alerts_abnormal_speed": _on_positions(
-            lambda p: _speed_alerts(p).withColumn(
-                "expected_speed", oracles.spark_round6("expected_speed")
-            )
+            lambda p: _rounded_alerts(_speed_alerts(p))
         ),
         "alert_ids": _on_positions(_alert_ids),
         "alerts_suppressed": _on_positions(
-            lambda p: emitted_alerts(p, vessel_profiles(p), DAY).drop("expected_speed")
+            lambda p: _rounded_alerts(emitted_alerts(p, vessel_profiles(p), DAY))
         ),
         "alerts_suppressed_5min": _on_positions(
-            lambda p: emitted_alerts(p, vessel_profiles(p)).drop("expected_speed")
+            lambda p: _rounded_alerts(emitted_alerts(p, vessel_profiles(p)))
         ),
         "latest_positions": _on_positions(latest_positions),
         "latest_positions_live": _on_positions(_live),
-        "latest_key_values": _on_positions(lambda p: to_key_value(latest_positions(p))),
+        "latest_key_values": _on_positions(_key_values),
         "expire_positions": _on_positions(
             lambda p: expire_positions(p, "2024-01-31 00:00:00", 10).drop("date")
         ),
@@ -289,10 +342,19 @@ def position_queries() -> dict[str, Query]:
         "vessel_track": _on_positions(_track),
         "upsert_merge": _upsert_merge,
         "job_run_log": _job_runs,
+        "job_route_segments": _job("routes", "route_segments"),
+        "job_zone_traffic_hourly": _job("zone_traffic", "zone_traffic_hourly"),
+        "job_zone_traffic_daily": _job("zone_traffic", "zone_traffic_daily"),
+        "job_heatmap_tiles": _job("heatmap", "heatmap_tiles"),
+        "job_vessel_profiles": lambda spark, sf_dir: _rounded_profiles(
+            _job("vessel_profiles", "vessel_profiles")(spark, sf_dir)
+        ),
         "stream_zone_stats": _stream_zone_stats,
+        "stream_restart": _stream_restart,
+        "stream_zone_stats_late": _stream_zone_stats_late,
         "stream_latest": _stream_latest,
         "stream_track": _stream_track,
-        "stream_alerts": lambda spark, sf_dir: _stream_alerts(spark, sf_dir).drop("expected_speed"),
+        "stream_alerts": lambda spark, sf_dir: _rounded_alerts(_stream_alerts(spark, sf_dir)),
     }
 
 
@@ -305,6 +367,6 @@ def oracle_sql() -> dict[str, str]:
     return found
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     """Hourly traffic per zone."""
-    return _hourly(load_positions(spark, "/root/testdata/sf0.001"))
+    return _hourly(load_positions(spark, sf_dir))

@@ -48,12 +48,3 @@ def positions_of(events: DataFrame) -> DataFrame:
 
 def load_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
-
-
-def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows as a stream over the events file."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
-    return positions_of(events)

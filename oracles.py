@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fixtures import POSITIONS_SQL
-from seatrace.functions.cells import DIGITS
-from seatrace.functions.zones import SEA_ZONES
+
+# Written out here, so that a wrong value in the package does not agree with itself.
+DIGITS = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 
 def spark_round6(name: str) -> Column:
@@ -20,27 +21,19 @@ def _round6(expr: str) -> str:
 
 
 def _round(column: str, digits: int) -> str:
-    """Round by exact binary value, ties to even: split the product into value and rest."""
-    scale = f"CAST({10**digits} AS DOUBLE)"
-    p = f"({column}*{scale})"
-    c = f"({column}*CAST(134217729 AS DOUBLE))"
-    high = f"({c}-({c}-{column}))"
-    rest = f"(({high}*{scale}-{p})+({column}-{high})*{scale})"
-    part = f"({p}-floor({p}))"
-    up = (
-        f"CASE WHEN {part}>0.5 OR ({part}=0.5 AND ({rest}>0 OR ({rest}=0 AND "
-        f"CAST(floor({p}) AS BIGINT)%2<>0))) THEN 1 ELSE 0 END"
-    )
-    return f"((floor({p})+{up})/{scale})"
+    """The decimal text of the exact binary value, ties to even."""
+    return f"CAST(printf('%.{digits}f', {column}) AS DOUBLE)"
 
 
 def _zone(lat: str = "latitude", lon: str = "longitude") -> str:
-    tests = "\n".join(
-        f"   WHEN {lat} BETWEEN {z.lat_lo} AND {z.lat_hi} AND {lon} BETWEEN {z.lon_lo} AND {z.lon_hi}"
-        f" THEN '{z.zone}'"
-        for z in SEA_ZONES
-    )
-    return f"CASE WHEN {lat} IS NULL OR {lon} IS NULL THEN 'unknown'\n{tests}\n   ELSE 'other' END"
+    return f"""CASE WHEN {lat} IS NULL OR {lon} IS NULL THEN 'unknown'
+   WHEN {lat} BETWEEN 35 AND 42 AND {lon} BETWEEN -6 AND 0 THEN 'gibraltar'
+   WHEN {lat} BETWEEN 36 AND 40 AND {lon} BETWEEN 0 AND 5 THEN 'alboran'
+   WHEN {lat} BETWEEN 37 AND 41 AND {lon} BETWEEN 5 AND 12 THEN 'balearic'
+   WHEN {lat} BETWEEN 36 AND 42 AND {lon} BETWEEN 12 AND 20 THEN 'central'
+   WHEN {lat} BETWEEN 35 AND 40 AND {lon} BETWEEN 20 AND 27 THEN 'eastern'
+   WHEN {lat} BETWEEN 30 AND 36 AND {lon} BETWEEN 30 AND 37 THEN 'levant'
+   ELSE 'other' END"""
 
 
 def _axis(x: str, low: int, span: int, bits: int) -> str:
@@ -181,7 +174,8 @@ emitted AS (
   FROM emitted e JOIN alerts a
     ON a.mmsi = e.mmsi AND a.type = e.type AND a.timestamp > e.timestamp + INTERVAL {quiet}
   GROUP BY a.mmsi, a.type)
-SELECT a.* EXCLUDE (expected_speed) FROM alerts a JOIN emitted USING (mmsi, type, timestamp)"""
+SELECT a.* REPLACE ({_round6('expected_speed')} AS expected_speed)
+FROM alerts a JOIN emitted USING (mmsi, type, timestamp)"""
 
 
 def _window(seconds: int) -> str:
@@ -224,13 +218,9 @@ messages AS (
 
 
 def _key_values() -> str:
-    """Spark prints 0.0005 with an exponent; the texts are equal otherwise."""
     return f"""WITH {POSITIONS}, latest AS ({_latest()})
-SELECT 'vessel:' || mmsi AS key, replace(CAST(to_json({{'mmsi': mmsi, 'ship_name': ship_name,
-    'latitude': latitude, 'longitude': longitude, 'speed': speed, 'course': course,
-    'heading': heading, 'nav_status': nav_status, 'updated_at':
-    regexp_replace(strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f'), '\\.000000$', '')}}) AS VARCHAR),
-    '0.0005', '5.0E-4') AS value
+SELECT 'vessel:' || mmsi AS key, mmsi, ship_name, latitude, longitude, speed, course, heading, nav_status,
+    regexp_replace(strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f'), '\\.000000$', '') AS updated_at
 FROM latest"""
 
 
@@ -300,7 +290,15 @@ SELECT {FLAT}, CAST(recorded_at AS DATE) AS date FROM positions WHERE mmsi IS NO
 ORDER BY mmsi, date, recorded_at DESC""",
         "upsert_merge": _merged(),
         "job_run_log": _job_runs(),
+        "job_route_segments": f"{routes} SELECT * FROM routes",
+        "job_zone_traffic_hourly": f"{traffic} SELECT * FROM hourly",
+        "job_zone_traffic_daily": f"{traffic} SELECT * FROM daily",
+        "job_heatmap_tiles": f"{tiles5}, {_tiles(6)} SELECT * FROM tiles5 UNION ALL SELECT * FROM tiles6",
+        "job_vessel_profiles": f"""WITH {POSITIONS}, {PROFILES}
+SELECT mmsi, {_round6('avg_speed')} AS avg_speed, {_round6('speed_std_dev')} AS speed_std_dev FROM profiles""",
         "stream_zone_stats": _window(10),
+        "stream_restart": _window(10),
+        "stream_zone_stats_late": _window(10),
         "stream_latest": latest,
         "stream_track": f"""WITH {POSITIONS}
 SELECT {FLAT}, CAST(recorded_at AS DATE) AS date FROM positions WHERE mmsi IS NOT NULL""",
@@ -330,7 +328,8 @@ def _job_runs() -> str:
         "routes": ("bounded", "(SELECT count(*) FROM routes)"),
         "vessel_profiles": (
             "positions WHERE mmsi IS NOT NULL",
-            "(SELECT count(*) FROM profiles)",
+            "(SELECT count(*) FROM profiles) + (SELECT count(DISTINCT (mmsi, CAST(recorded_at AS DATE))) "
+            "FROM positions WHERE mmsi IS NOT NULL AND speed IS NOT NULL)",
         ),
         "zone_traffic": (
             "cleaned WHERE speed IS NOT NULL",

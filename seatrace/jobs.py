@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from seatrace import schema
-from seatrace.operators.clean import clean_positions, with_date
+from seatrace.operators.clean import RETENTION_DAYS, clean_positions, on_date, with_date
 from seatrace.plans.heatmap import heatmap_pyramid
-from seatrace.plans.profiles import vessel_profiles
+from seatrace.plans.profiles import merged_profiles, speed_moments
 from seatrace.plans.routes import route_segments
 from seatrace.plans.traffic import daily_traffic, hourly_traffic, sightings, vessel_hours
 from seatrace.session import build_session
 from seatrace.settings import batch_date
-from seatrace.sources.tables import upsert
+from seatrace.sources.tables import expire_dates, read_table, upsert
 
 RUN_LOG = "job_runs"
 
@@ -41,20 +41,21 @@ ROUTES = Output("route_segments", ["window_date"], ["cell_from", "cell_to"])
 HOURLY = Output("zone_traffic_hourly", ["date"], ["zone", "hour"])
 DAILY = Output("zone_traffic_daily", ["date"], ["zone"])
 TILES = Output("heatmap_tiles", ["precision", "date"], ["lat", "lon"])
+MOMENTS = Output("speed_moments", ["date"], ["mmsi"])
 PROFILES = Output("vessel_profiles", ["part"], ["mmsi"])
 
 
 POSITION_COLUMNS = ["mmsi", "date", "recorded_at", "latitude", "longitude", "speed"]
 
 
-def _routes(positions: DataFrame, target: date | None, counted: Counted):
+def _routes(positions: DataFrame, target: date | None, counted: Counted, tables: str):
     rows = clean_positions(
         with_date(positions), target, enforce_global_bounds=True, select_columns=POSITION_COLUMNS
     )
     yield ROUTES, route_segments(counted(rows))
 
 
-def _traffic(positions: DataFrame, target: date | None, counted: Counted):
+def _traffic(positions: DataFrame, target: date | None, counted: Counted, tables: str):
     rows = clean_positions(
         with_date(positions), target, require_speed=True, select_columns=POSITION_COLUMNS
     )
@@ -66,7 +67,7 @@ def _traffic(positions: DataFrame, target: date | None, counted: Counted):
         hours.unpersist()
 
 
-def _heatmap(positions: DataFrame, target: date | None, counted: Counted):
+def _heatmap(positions: DataFrame, target: date | None, counted: Counted, tables: str):
     rows = clean_positions(
         with_date(positions),
         target,
@@ -76,10 +77,14 @@ def _heatmap(positions: DataFrame, target: date | None, counted: Counted):
     yield TILES, heatmap_pyramid(counted(rows))
 
 
-def _profiles(positions: DataFrame, target: date | None, counted: Counted):
-    # a profile covers the vessel's whole retained history, whatever the date
-    rows = positions.select("mmsi", "speed").filter(F.col("mmsi").isNotNull())
-    yield PROFILES, vessel_profiles(counted(rows)).withColumn("part", F.pmod("mmsi", F.lit(64)))
+def _profiles(positions: DataFrame, target: date | None, counted: Counted, tables: str):
+    """Moments of the day's speeds, then profiles from all stored days: positions of other
+    days are not read again. Days that ``expire`` removes leave the profiles."""
+    rows = with_date(positions) if target is None else on_date(positions, target)
+    yield MOMENTS, speed_moments(counted(rows.select("mmsi", "date", "speed").dropna(subset=["mmsi"])))
+    stored = read_table(positions.sparkSession, f"{tables}/{MOMENTS.table}")
+    if stored is not None:
+        yield PROFILES, merged_profiles(stored).withColumn("part", F.pmod("mmsi", F.lit(64)))
 
 
 JOBS: dict[str, Callable] = {
@@ -108,7 +113,7 @@ def run_job(
     run = {"job_name": name, "run_date": target or started.date(), "started_at": started}
     written = 0
     try:
-        for output, result in JOBS[name](positions, target, counted):
+        for output, result in JOBS[name](positions, target, counted, tables):
             wrote = Observation()
             stamped = result.withColumn("updated_at", F.lit(started)).observe(
                 wrote, F.count(F.lit(1)).alias("n")
@@ -131,6 +136,11 @@ def run_job(
     return run
 
 
+def expire(spark: SparkSession, positions: str, tables: str, as_of: date, days: int = RETENTION_DAYS) -> dict:
+    """Remove date folders past retention from the position table and the moments."""
+    return {path: expire_dates(spark, path, as_of, days) for path in (positions, f"{tables}/{MOMENTS.table}")}
+
+
 def _log_run(spark: SparkSession, run: dict, path: str) -> None:
     columns = (
         "job_name string, run_date date, started_at timestamp, finished_at timestamp, "
@@ -144,7 +154,7 @@ def _log_run(spark: SparkSession, run: dict, path: str) -> None:
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run a daily batch job.")
-    parser.add_argument("job", choices=sorted(JOBS))
+    parser.add_argument("job", choices=[*sorted(JOBS), "expire"])
     parser.add_argument("--positions", required=True, help="position table, partitioned by date")
     parser.add_argument("--tables", required=True, help="folder of the result tables")
     parser.add_argument("--date", type=date.fromisoformat, default=None)
@@ -152,6 +162,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     options = parser.parse_args(arguments)
     target = None if options.all_dates else options.date or batch_date()
     spark = build_session(f"vessel positions: {options.job}")
+    if options.job == "expire":
+        today = options.date or datetime.now(timezone.utc).date()
+        print(expire(spark, options.positions, options.tables, today))
+        return
     positions = spark.read.parquet(options.positions)
     print(run_job(spark, options.job, positions, options.tables, target))
 

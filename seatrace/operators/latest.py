@@ -38,11 +38,13 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
 
 
 def latest_positions(positions: DataFrame) -> DataFrame:
-    """One row per vessel, stamped ``updated_at`` (B1)."""
+    """One row per vessel, stamped ``updated_at`` (B1); of equal times the last to arrive,
+    where ``arrival`` is known (Q3)."""
+    arrival = [name for name in positions.columns if name == "arrival"]
     rows = positions.filter(F.col("mmsi").isNotNull()).select(
-        "mmsi", *LATEST_COLUMNS, F.col("recorded_at").alias("updated_at")
+        "mmsi", *LATEST_COLUMNS, F.col("recorded_at").alias("updated_at"), *arrival
     )
-    return newest_per_key(rows, ["mmsi"], ["updated_at"])
+    return newest_per_key(rows, ["mmsi"], ["updated_at", *arrival]).drop("arrival")
 
 
 def unexpired(

@@ -5,27 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-SALTS = 32
 
 
 def lookup_join(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    spread_on: Sequence[str] = ("recorded_at",),
-    salts: int = SALTS,
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Join rows to a keyed table when one key may hold a large share of the rows.
 
-    The rows of a key are spread over ``salts`` partitions by a hash of ``spread_on``
-    (columns that differ within a key) and each table row is repeated once per salt. No
-    broadcast is forced: Spark chooses one itself where the measured size allows.
+    The table is taken as it is: Spark broadcasts it where its measured size allows, and
+    otherwise adaptive execution splits the rows of a heavy key over several tasks, each
+    with that key's one table row. Null keys match nothing.
     """
-    salted_rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*spread_on), F.lit(salts)))
-    salted_table = table.withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
-    return salted_rows.join(salted_table, [*keys, "__salt"], how).drop("__salt")
+    return rows.join(table, list(keys), how)

@@ -49,13 +49,24 @@ def _in_box(box: Sequence[Sequence[float]]) -> Column:
     )
 
 
-def flatten_positions(parsed: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+#: How far a message's own clock may run ahead of its arrival.
+CLOCK_TOLERANCE_SECONDS = 300
+
+
+def flatten_positions(
+    parsed: DataFrame, extra: Sequence[str] = (), tolerance_seconds: int = CLOCK_TOLERANCE_SECONDS
+) -> DataFrame:
     """One flat row per message that names a vessel.
 
-    ``recorded_at`` is the message's own time; where that is unreadable, the broker's
-    ``timestamp`` if the source has one, else the time of processing (Q1).
+    ``recorded_at`` is the message's own time. Where that is unreadable, or later than the
+    arrival by more than the tolerance, it is the arrival: the broker's ``timestamp`` if the
+    source has one, else the time of processing (Q1). The broker's ``offset``, if there is
+    one, stays as ``arrival`` and orders messages of equal time. One wrong clock thus moves neither the
+    watermark nor its vessel's latest position into the future.
     """
     received = F.col("timestamp") if "timestamp" in parsed.columns else F.current_timestamp()
+    own = event_time(F.col("MetaData.time_utc"))
+    believed = F.when(own <= received + F.make_dt_interval(secs=F.lit(tolerance_seconds)), own)
     return parsed.select(
         F.col("MetaData.MMSI").alias("mmsi"),
         F.col("MetaData.ShipName").alias("ship_name"),
@@ -65,13 +76,16 @@ def flatten_positions(parsed: DataFrame, extra: Sequence[str] = ()) -> DataFrame
         F.col("Message.PositionReport.Cog").alias("course"),
         F.col("Message.PositionReport.TrueHeading").alias("heading"),
         F.col("Message.PositionReport.NavigationalStatus").alias("nav_status"),
-        F.coalesce(event_time(F.col("MetaData.time_utc")), received).alias("recorded_at"),
+        F.coalesce(believed, received).alias("recorded_at"),
+        *[F.col("offset").alias("arrival") for name in parsed.columns if name == "offset"],
         *[F.col(name) for name in extra],
     ).filter(F.col("mmsi").isNotNull())
 
 
-def to_messages(positions: DataFrame, message_type: Column | None = None) -> DataFrame:
-    """The message text that parses back into these positions (tests, replays)."""
+def to_messages(
+    positions: DataFrame, message_type: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """The message text that parses back into these positions (tests, replays), and ``keep``."""
     time_text = F.concat(
         F.date_format("recorded_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" +0000 UTC")
     )
@@ -93,4 +107,4 @@ def to_messages(positions: DataFrame, message_type: Column | None = None) -> Dat
         ).alias("Message"),
         (F.lit("PositionReport") if message_type is None else message_type).alias("MessageType"),
     )
-    return positions.select(F.to_json(message).alias("value"))
+    return positions.select(F.to_json(message).alias("value"), *keep)

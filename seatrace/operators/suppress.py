@@ -17,11 +17,13 @@ slice, or the step functions of one key's day, or of one key's days.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,20 +57,40 @@ def suppress(
 
 def suppress_after(
     rows: DataFrame,
-    last_kept: DataFrame,
+    earlier: DataFrame,
     keys: Sequence[str] = ("mmsi", "type"),
     time: str = "timestamp",
     quiet_seconds: int = QUIET_SECONDS,
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """As ``suppress``, following rows kept earlier: ``last_kept`` has keys and ``last_time``."""
-    known = last_kept.select(*keys, F.col("last_time").alias("__last"))
-    quiet_end = F.col("__last") + F.make_dt_interval(secs=F.lit(quiet_seconds))
-    open_rows = (
-        lookup_join(rows, known, list(keys), "left", [time])
-        .filter(F.col("__last").isNull() | (F.col(time) > quiet_end))
-        .select(*rows.columns)
+    """As ``suppress``, following rows kept before: ``earlier`` has keys and ``kept_at``.
+
+    A row is held back by an earlier kept row at or up to the quiet period before it; one
+    that is later than the row does not count, so a late row is not lost. Rows and earlier
+    rows meet in intervals of a quiet period, of which a row can only need two.
+    """
+    keys = list(keys)
+    length = max(1, quiet_seconds * 1_000_000)
+    known = (
+        earlier.select(*keys, F.unix_micros("kept_at").alias("__kept"))
+        .withColumn("__interval", F.floor(F.col("__kept") / length))
+        .groupBy(*keys, "__interval")
+        .agg(F.array_sort(F.collect_set("__kept")).alias("__at"))
+    )
+    t = F.unix_micros(time)
+    found = rows.withColumn("__interval", F.floor(t / length))
+    before = known.select(
+        *keys, (F.col("__interval") + 1).alias("__interval"), F.col("__at").alias("__before")
+    )
+    met = lookup_join(
+        lookup_join(found, known, [*keys, "__interval"], "left"), before, [*keys, "__interval"], "left"
     )
+
+    def holds_back(times: str) -> Column:
+        hit = F.exists(times, lambda kept: (kept <= t) & (t <= kept + quiet_seconds * 1_000_000))
+        return F.coalesce(hit, F.lit(False))
+
+    open_rows = met.filter(~holds_back("__at") & ~holds_back("__before")).select(*rows.columns)
     return suppress(open_rows, keys, time, quiet_seconds, slice_seconds)
 
 
@@ -290,3 +312,7 @@ def entry_states(
         inside = following < part_end[moving]
         states[following[inside]] = state[moving[inside]]
     return np.maximum.accumulate(states) - np.repeat(lift, part_count)
+
+
+# executors need not have the package installed: its Python tasks travel by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

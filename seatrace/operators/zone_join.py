@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from seatrace.functions.zones import NO_COORDINATE, OUTSIDE, SEA_ZONES, Zone, zone_of
 from seatrace.operators.lookup import lookup_join
 
-# Above this many (degree cell, box) pairs the grid is joined by shuffle instead.
-BROADCAST_PAIRS = 500_000
+# Sides of the grid's cells in degrees. A box lies on the finest grid whose cells are no
+# smaller than the box, so it meets at most four cells but on the coarsest.
+CELL_SIDES = (1 / 256, 1 / 16, 1.0, 16.0)
 
 
 def with_zone(df: DataFrame, zones: Sequence[Zone] = SEA_ZONES) -> DataFrame:
@@ -21,31 +22,43 @@ def with_zone(df: DataFrame, zones: Sequence[Zone] = SEA_ZONES) -> DataFrame:
 def with_zone_table(df: DataFrame, zones: DataFrame) -> DataFrame:
     """Zone of each point from a table ``(priority, zone, lat_lo, lat_hi, lon_lo, lon_hi)``.
 
-    Boxes are laid on a one-degree grid, so the lookup is an equi-join with at most one
-    match per point and the few boxes of that degree cell are tried in order. No row is
-    multiplied and no point meets a box of another degree cell.
+    On each grid the lookup is an equi-join with at most one match per point, and only the
+    boxes of that cell are tried, so a degree full of small boxes is not searched as a
+    whole. No row is multiplied. Grids without boxes drop out while the query runs. Missing
+    coordinates match no cell.
     """
-    pairs = (
-        zones.withColumn("__gy", F.explode(_degrees("lat_lo", "lat_hi")))
-        .withColumn("__gx", F.explode(_degrees("lon_lo", "lon_hi")))
-        .select("__gy", "__gx", F.struct(*Zone._fields).alias("box"))
-    )
-    grid = pairs.groupBy("__gy", "__gx").agg(F.array_sort(F.collect_list("box")).alias("__boxes"))
-    points = df.withColumns({"__gy": F.floor("latitude"), "__gx": F.floor("longitude")})
-    if pairs.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS:
-        joined = points.join(F.broadcast(grid), ["__gy", "__gx"], "left")
-    else:
-        joined = lookup_join(points, grid, ["__gy", "__gx"], "left", ["latitude", "longitude"])
+    side = F.greatest(F.col("lat_hi") - F.col("lat_lo"), F.col("lon_hi") - F.col("lon_lo"))
     lat, lon = F.col("latitude"), F.col("longitude")
-    hits = F.filter(
-        "__boxes",
-        lambda b: lat.between(b["lat_lo"], b["lat_hi"]) & lon.between(b["lon_lo"], b["lon_hi"]),
-    )
+    joined, hits = df, []
+    for level, cell in enumerate(CELL_SIDES):
+        on_level = side <= cell
+        if level:
+            on_level &= side > CELL_SIDES[level - 1]
+        if cell == CELL_SIDES[-1]:
+            on_level = side > CELL_SIDES[-2]
+        keys = [f"__gy{level}", f"__gx{level}"]
+        grid = (
+            zones.filter(on_level)
+            .withColumn(keys[0], F.explode(_cells("lat_lo", "lat_hi", cell)))
+            .withColumn(keys[1], F.explode(_cells("lon_lo", "lon_hi", cell)))
+            .groupBy(*keys)
+            .agg(F.array_sort(F.collect_list(F.struct(*Zone._fields))).alias(f"__boxes{level}"))
+        )
+        points = joined.withColumns(
+            {keys[0]: F.floor(lat / F.lit(cell)), keys[1]: F.floor(lon / F.lit(cell))}
+        )
+        joined = lookup_join(points, grid, keys, "left").drop(*keys)
+        inside = F.filter(
+            f"__boxes{level}",
+            lambda b: lat.between(b["lat_lo"], b["lat_hi"]) & lon.between(b["lon_lo"], b["lon_hi"]),
+        )
+        hits.append(F.get(inside, 0))
+    first = F.array_min(F.filter(F.array(*hits), lambda hit: hit.isNotNull()))
     zone = F.when(lat.isNull() | lon.isNull(), NO_COORDINATE).otherwise(
-        F.coalesce(F.get(hits, 0)["zone"], F.lit(OUTSIDE))
+        F.coalesce(first["zone"], F.lit(OUTSIDE))
     )
-    return joined.withColumn("zone", zone).drop("__gy", "__gx", "__boxes")
+    return joined.withColumn("zone", zone).drop(*[f"__boxes{i}" for i in range(len(CELL_SIDES))])
 
 
-def _degrees(low: str, high: str):
-    return F.sequence(F.floor(low), F.floor(high))
+def _cells(low: str, high: str, cell: float):
+    return F.sequence(F.floor(F.col(low) / F.lit(cell)), F.floor(F.col(high) / F.lit(cell)))

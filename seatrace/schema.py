@@ -30,6 +30,7 @@ KEYS = {
     "zone_traffic_hourly": ["zone", "hour"],
     "zone_traffic_daily": ["zone", "date"],
     "heatmap_tiles": ["precision", "cell", "date"],
+    "speed_moments": ["mmsi", "date"],
     "vessel_profiles": ["mmsi"],
     "job_runs": ["job_name", "run_date"],
 }

@@ -29,10 +29,11 @@ def broker_options(
 def read_topic(spark: SparkSession, broker: str, **options) -> DataFrame:
     """Subscribe to one topic (A1); the connector package must be on the cluster.
 
-    Keeps the broker's own ``timestamp`` as fallback event time.
+    Keeps the broker's own ``timestamp`` as fallback event time and its ``offset`` as order of
+    arrival; messages of a vessel share a partition.
     """
     reader = spark.readStream.format("kafka").options(**broker_options(broker, **options))
-    return reader.load().select("value", "timestamp")
+    return reader.load().select("value", "timestamp", "offset")
 
 
 def read_message_files(

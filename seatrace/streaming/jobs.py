@@ -1,14 +1,16 @@
 """The three streaming jobs (P1 to P3) over flat positions.
 
 Each returns its StreamingQuery (I9); trigger and checkpoint folder are the caller's
-(I1, I2). Sinks are logs keyed by micro-batch, so a replayed batch changes nothing, and a
-failing write fails the batch instead of losing it.
+(I1, I2). Sinks are logs keyed by query and micro-batch, so a replayed batch changes
+nothing, a new checkpoint overwrites nothing, and a failing write fails the batch instead
+of losing it. ``fold`` keeps the logs short.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,25 +22,49 @@ from seatrace.operators.latest import LATEST_TTL_SECONDS, latest_positions, newe
 from seatrace.operators.suppress import QUIET_SECONDS, suppress_after
 from seatrace.plans.alerts import detect_alerts
 from seatrace.plans.traffic import ZONE_WINDOW, zone_stats
-from seatrace.sources.tables import read_log, read_table, write_batch
+from seatrace.sources.tables import (
+    NEWER,
+    STAMPS,
+    drop_batch,
+    fold_log,
+    read_log,
+    read_log_rows,
+    write_batch,
+)
 
 # Fixed value: how often the streaming jobs start a micro-batch.
 TRIGGER = {"processingTime": "10 seconds"}
 WATERMARK = "1 minute"
+#: Folders over which the folded latest positions are spread by vessel.
+LATEST_PARTS = 16
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark wrote to the checkpoint before the first batch."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def _start(
     stream: DataFrame,
-    sink: Callable[[DataFrame, int], None],
+    sink: Callable[[DataFrame, int, str], None],
+    logs: list[str],
     checkpoint: str,
     trigger: dict | None,
     mode: str = "append",
 ) -> StreamingQuery:
+    known: list[str] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if not known:
+            known.append(_query_id(spark, checkpoint))
         batch.persist()
         try:
-            if not batch.isEmpty():
-                sink(batch, batch_id)
+            if batch.isEmpty():
+                for log in logs:
+                    drop_batch(spark, log, batch_id, known[0])
+            else:
+                sink(batch, batch_id, known[0])
         finally:
             batch.unpersist()
 
@@ -56,26 +82,30 @@ def start_live_positions(
 ) -> StreamingQuery:
     """Trajectory history and latest position per vessel from one reading."""
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(with_date(batch), track_log, batch_id, ["date"])
-        newest = latest_positions(batch)
-        hour = F.date_format("updated_at", "yyyy-MM-dd-HH")
-        write_batch(newest.withColumn("hour", hour), latest_log, batch_id, ["hour"])
+    def sink(batch: DataFrame, batch_id: int, query_id: str) -> None:
+        write_batch(with_date(batch).drop("arrival"), track_log, batch_id, ["date"], query_id)
+        newest = latest_positions(batch).withColumns(
+            {
+                "hour": F.date_format("updated_at", "yyyy-MM-dd-HH"),
+                "part": F.pmod("mmsi", F.lit(LATEST_PARTS)),
+            }
+        )
+        write_batch(newest, latest_log, batch_id, ["hour"], query_id)
 
-    return _start(positions, sink, checkpoint, trigger)
+    return _start(positions, sink, [track_log, latest_log], checkpoint, trigger)
 
 
 def read_latest(spark: SparkSession, latest_log: str) -> DataFrame | None:
     """Latest position of every vessel; late data never moves a vessel back (Q3)."""
-    log = read_table(spark, latest_log)
+    log = read_log_rows(spark, latest_log)
     return None if log is None else _newest(log)
 
 
 def read_live(
     spark: SparkSession, latest_log: str, as_of: datetime, ttl_seconds: int = LATEST_TTL_SECONDS
 ) -> DataFrame | None:
-    """Unexpired positions (R6); opens only the hours that can hold one."""
-    log = read_table(spark, latest_log)
+    """Unexpired positions (R6); of the batches, opens only the hours that can hold one."""
+    log = read_log_rows(spark, latest_log)
     if log is None:
         return None
     oldest = (as_of - timedelta(seconds=ttl_seconds)).strftime("%Y-%m-%d-%H")
@@ -83,8 +113,8 @@ def read_live(
 
 
 def _newest(log: DataFrame) -> DataFrame:
-    rows = log.withColumn("batch_id", F.col("batch_id").cast("bigint")).drop("hour")
-    return newest_per_key(rows, schema.KEYS["latest_positions"], ["updated_at", "batch_id"]).drop("batch_id")
+    version = ["updated_at", *NEWER]
+    return newest_per_key(log.drop("hour", "part"), schema.KEYS["latest_positions"], version).drop(*STAMPS)
 
 
 def read_track(spark: SparkSession, track_log: str) -> DataFrame | None:
@@ -103,20 +133,41 @@ def start_zone_stats(
 ) -> StreamingQuery:
     """Zone statistics per tumbling event-time window.
 
-    Changed windows are emitted on every trigger; state older than the watermark is freed
-    and rows behind it are dropped.
+    Changed windows are emitted on every trigger; state older than the watermark is freed.
+    Rows behind it do not reach the state: ``settle_zone_stats`` brings them in from the
+    trajectory log.
     """
     stats = zone_stats(positions.withWatermark("recorded_at", watermark), window, approx_vessels)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, log, batch_id)
+    def sink(batch: DataFrame, batch_id: int, query_id: str) -> None:
+        dated = batch.withColumn("date", F.to_date("window_start"))
+        write_batch(dated, log, batch_id, ["date"], query_id)
 
-    return _start(stats, sink, checkpoint, trigger, mode="update")
+    return _start(stats, sink, [log], checkpoint, trigger, mode="update")
 
 
 def read_zone_stats(spark: SparkSession, log: str) -> DataFrame | None:
     """Current statistics per (zone, window_start)."""
-    return read_log(spark, log, schema.KEYS["zone_stats"])
+    stats = read_log(spark, log, schema.KEYS["zone_stats"])
+    return None if stats is None else stats.drop("date")
+
+
+def settle_zone_stats(
+    spark: SparkSession, track_log: str, log: str, run_id: int, target_date: date | str | None = None,
+    window: str = ZONE_WINDOW,
+) -> None:
+    """Statistics of finished days from the trajectory log, late rows included.
+
+    They are written as a batch of their own and so replace what the stream had counted.
+    ``run_id`` must grow from run to run; a rerun of the same one replaces it.
+    """
+    track = read_track(spark, track_log)
+    if track is None:
+        return
+    if target_date is not None:
+        track = track.filter(F.col("date") == F.lit(str(target_date)).cast("date"))
+    settled = zone_stats(track, window).withColumn("date", F.to_date("window_start"))
+    write_batch(settled, log, run_id, ["date"], "settled")
 
 
 def start_alerts(
@@ -134,15 +185,18 @@ def start_alerts(
     this batch do not count, so a replay emits the same rows.
     """
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
+    def sink(batch: DataFrame, batch_id: int, query_id: str) -> None:
         spark = batch.sparkSession
-        found = detect_alerts(batch, profiles())
-        known = last_alerts(spark, log, before_batch=batch_id, since=_oldest(batch, quiet_seconds))
-        emitted = suppress_after(found, known, quiet_seconds=quiet_seconds)
-        dated = emitted.withColumn("date", F.to_date("timestamp"))
-        write_batch(dated, log, batch_id, ["date"])
+        found = detect_alerts(batch, profiles()).persist()
+        try:
+            known = earlier_alerts(spark, log, batch_id, query_id, _oldest(batch, quiet_seconds))
+            emitted = suppress_after(found, known, quiet_seconds=quiet_seconds)
+            dated = emitted.withColumn("date", F.to_date("timestamp"))
+            write_batch(dated, log, batch_id, ["date"], query_id)
+        finally:
+            found.unpersist()
 
-    return _start(positions, sink, checkpoint, trigger)
+    return _start(positions, sink, [log], checkpoint, trigger)
 
 
 def _oldest(batch: DataFrame, quiet_seconds: int):
@@ -150,18 +204,35 @@ def _oldest(batch: DataFrame, quiet_seconds: int):
     return None if first is None else (first - timedelta(seconds=quiet_seconds)).date()
 
 
-def last_alerts(spark: SparkSession, log: str, before_batch: int, since=None) -> DataFrame:
-    """Time of the last alert per (mmsi, type) in earlier batches; opens dates from ``since`` on."""
-    alerts = read_table(spark, log)
+def earlier_alerts(
+    spark: SparkSession, log: str, batch_id: int, query_id: str, since: date | None = None
+) -> DataFrame:
+    """(mmsi, type, kept_at) of alerts before this batch; opens dates from ``since`` on."""
+    alerts = read_log_rows(spark, log)
     if alerts is None:
-        return spark.createDataFrame([], "mmsi int, type string, last_time timestamp")
-    earlier = alerts.filter(F.col("batch_id").cast("bigint") < before_batch)
+        return spark.createDataFrame([], "mmsi int, type string, kept_at timestamp")
+    before = alerts.filter((F.col("query_id") != query_id) | (F.col("batch_id") < batch_id))
     if since is not None:
-        earlier = earlier.filter(F.col("date") >= F.lit(since))
-    return earlier.groupBy("mmsi", "type").agg(F.max("timestamp").alias("last_time"))
+        before = before.filter(F.col("date") >= F.lit(since))
+    return before.select("mmsi", "type", F.col("timestamp").alias("kept_at"))
 
 
 def read_alerts(spark: SparkSession, log: str) -> DataFrame | None:
     """All emitted alerts, unique on alert_id."""
     alerts = read_log(spark, log, schema.KEYS["alerts"])
     return None if alerts is None else alerts.drop("date")
+
+
+#: How each kind of log folds: keys, folders, order in a folder, and what is newer.
+FOLDS = {
+    "track": (schema.KEYS["positions"], ["date"], ["mmsi", "recorded_at"], NEWER),
+    "latest": (schema.KEYS["latest_positions"], ["part"], ["mmsi"], ["updated_at", *NEWER]),
+    "zone_stats": ([*schema.KEYS["zone_stats"], "date"], ["date"], ["zone"], NEWER),
+    "alerts": ([*schema.KEYS["alerts"], "date"], ["date"], ["mmsi"], NEWER),
+}
+
+
+def fold(spark: SparkSession, kind: str, log: str) -> int:
+    """Merge the closed batches of a log of this kind and remove them; returns how many."""
+    keys, partition_by, sort_by, version = FOLDS[kind]
+    return fold_log(spark, log, keys, partition_by, sort_by, version)

@@ -25,9 +25,7 @@ ZONE_CASES = [
 ]
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_zones(spark, monkeypatch, limit):
-    monkeypatch.setattr("seatrace.operators.zone_join.BROADCAST_PAIRS", limit)
+def test_zones(spark):
     points = spark.createDataFrame(ZONE_CASES, "latitude double, longitude double, expected string")
     table = spark.createDataFrame(SEA_ZONES)
     for located in (with_zone(points), with_zone_table(points, table)):
@@ -112,6 +110,43 @@ def test_round_exact_equals_python(spark):
         assert df.filter(round_exact(F.col("x"), digits) != F.col(f"r{digits}")).collect() == []
 
 
+def test_round_exact_of_large_and_odd_values(spark):
+    rng = random.Random(4)
+    values = [rng.uniform(-1, 1) * 10 ** rng.uniform(9, 18) for _ in range(2000)]
+    values += [float("nan"), float("inf"), float("-inf"), 1e300, 2.0**52 + 1, 123456789012.345, None]
+    rows = [(v, *([None] * 2 if v is None else [round(v, d) for d in (2, 4)])) for v in values]
+    df = spark.createDataFrame(rows, "x double, r2 double, r4 double")
+    for digits in (2, 4):
+        same = round_exact(F.col("x"), digits).eqNullSafe(F.col(f"r{digits}"))
+        assert df.filter(~same).collect() == []
+
+
+def test_many_boxes_in_one_degree(spark):
+    """Small boxes by the thousand, a few large ones, missing and odd coordinates."""
+    rng = random.Random(8)
+    boxes = []
+    for i in range(3000):
+        lat, lon = 40 + rng.random(), 5 + rng.random()
+        side = rng.choice([0.002, 0.004, 0.05])
+        boxes.append((i, f"z{i}", lat, lat + side, lon, lon + side))
+    boxes += [(5000, "degree", 40.0, 41.0, 5.0, 6.0), (6000, "sea", -30.0, 60.0, -170.0, 170.0)]
+    points = [(40 + rng.random(), 5 + rng.random()) for _ in range(3000)]
+    points += [(None, 5.0), (40.5, None), (0.0, 0.0), (89.0, 0.0), (40.0, 5.0), (41.0, 6.0)]
+    table = spark.createDataFrame(boxes, "priority int, zone string, lat_lo double, lat_hi double, lon_lo double, lon_hi double")
+    df = spark.createDataFrame(points, "latitude double, longitude double")
+    found = with_zone_table(df, table)
+    assert found.columns == ["latitude", "longitude", "zone"]
+
+    def first(lat, lon):
+        if lat is None or lon is None:
+            return "unknown"
+        return next((b[1] for b in boxes if b[2] <= lat <= b[3] and b[4] <= lon <= b[5]), "other")
+
+    assert sorted(map(str, found.collect())) == sorted(
+        f"Row(latitude={lat}, longitude={lon}, zone={first(lat, lon)!r})" for lat, lon in points
+    )
+
+
 def test_event_time(spark):
     texts = [
         ("2024-01-15 14:00:00.123456789 +0000 UTC", datetime(2024, 1, 15, 14, 0, 0, 123456)),

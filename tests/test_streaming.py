@@ -12,6 +12,7 @@ from seatrace.plans.profiles import vessel_profiles
 from seatrace.plans.traffic import zone_stats
 from seatrace.sources.streams import read_message_files
 from seatrace.streaming import jobs as streams
+from seatrace.streaming import run
 from tests.test_plans import START, positions
 
 ONCE = {"availableNow": True}
@@ -107,13 +108,90 @@ def test_alert_replay_emits_the_same_rows(spark, feed, tmp_path):
     profiles = lambda: vessel_profiles(positions(spark, rows()))
     checkpoint = tmp_path / "checkpoint"
     streams.start_alerts(feed.stream(), profiles, log, str(checkpoint), ONCE).awaitTermination()
-    before = spark.read.parquet(log).collect()
+    stored = lambda: sorted(spark.read.parquet(f"{log}/batches").drop("written_at").collect(), key=str)
+    before = stored()
     last = max(int(p.name) for p in (checkpoint / "commits").iterdir() if p.name.isdigit())
     # the sink wrote the last batch, but its commit was lost
     (checkpoint / "commits" / str(last)).unlink()
     (checkpoint / "commits" / f".{last}.crc").unlink(missing_ok=True)
     streams.start_alerts(feed.stream(), profiles, log, str(checkpoint), ONCE).awaitTermination()
-    assert sorted(spark.read.parquet(log).collect(), key=str) == sorted(before, key=str)
+    assert stored() == before
+
+
+def test_a_new_checkpoint_keeps_the_old_log(spark, tmp_path):
+    log, track, latest = (str(tmp_path / n) for n in ("log", "track", "latest"))
+    old, new = Feed(spark, tmp_path / "old"), Feed(spark, tmp_path / "new")
+    old.send([(1, 0, 38.0, 1.0, 4.0), (2, 60, 38.0, 1.0, 4.0)])
+    new.send([(3, 120, 38.0, 1.0, 4.0)])
+    for feed in (old, new):
+        name = feed.path.name
+        streams.start_zone_stats(feed.stream(), log, str(tmp_path / f"z-{name}"), ONCE).awaitTermination()
+        streams.start_live_positions(feed.stream(), track, latest, str(tmp_path / f"p-{name}"), ONCE).awaitTermination()
+    assert streams.read_zone_stats(spark, log).count() == 3
+    assert streams.read_track(spark, track).count() == 3
+    assert streams.read_latest(spark, latest).count() == 3
+
+
+def test_folded_streams_read_the_same(spark, feed, tmp_path):
+    names = ("track", "latest", "zone_stats")
+    track, latest, stats = (str(tmp_path / n) for n in names)
+    streams.start_live_positions(feed.stream(), track, latest, str(tmp_path / "c1"), ONCE).awaitTermination()
+    streams.start_zone_stats(feed.stream(), stats, str(tmp_path / "c2"), ONCE).awaitTermination()
+    reads = {"track": streams.read_track, "latest": streams.read_latest, "zone_stats": streams.read_zone_stats}
+    for name, path in zip(names, (track, latest, stats)):
+        before = sorted(reads[name](spark, path).collect(), key=str)
+        assert streams.fold(spark, name, path) >= 2 and streams.fold(spark, name, path) == 0
+        assert sorted(reads[name](spark, path).collect(), key=str) == before
+        assert len(list((tmp_path / name / "batches").glob("*/*"))) == 1
+
+
+def test_a_clock_in_the_far_future_moves_nothing(spark, tmp_path):
+    feed, log = Feed(spark, tmp_path / "in"), str(tmp_path / "log")
+    century = 75 * 365 * 86400
+    for t in (0, 60, century, 120, 180):
+        feed.send([(1 if t == century else 2, t, 38.0, 1.0, 4.0)])
+    track, latest = str(tmp_path / "track"), str(tmp_path / "latest")
+    streams.start_live_positions(feed.stream(), track, latest, str(tmp_path / "p"), ONCE).awaitTermination()
+    found = {r.mmsi: r.updated_at for r in streams.read_latest(spark, latest).collect()}
+    assert found[1] < START + timedelta(days=3650) and found[2] == START + timedelta(seconds=180)
+    # its arrival is years after the other messages' time, so those windows come by settling
+    streams.start_zone_stats(feed.stream(), log, str(tmp_path / "z"), ONCE).awaitTermination()
+    streams.settle_zone_stats(spark, track, log, 0)
+    assert streams.read_zone_stats(spark, log).count() == 5
+
+
+def test_late_windows_are_settled(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in")
+    everything = [(m, t, 38.0, 1.0, float(m)) for t in range(0, 1200, 60) for m in (1, 2)]
+    for i in range(0, len(everything), 10):
+        feed.send(everything[::-1][i : i + 10])
+    log, track, latest = (str(tmp_path / n) for n in ("log", "track", "latest"))
+    streams.start_zone_stats(feed.stream(), log, str(tmp_path / "z"), ONCE).awaitTermination()
+    expected = zone_stats(positions(spark, everything))
+    assert streams.read_zone_stats(spark, log).count() < expected.count()
+    streams.start_live_positions(feed.stream(), track, latest, str(tmp_path / "p"), ONCE).awaitTermination()
+    streams.settle_zone_stats(spark, track, log, 0)
+    same(streams.read_zone_stats(spark, log), expected)
+
+
+def test_a_late_alert_is_emitted(spark, tmp_path):
+    feed, log = Feed(spark, tmp_path / "in"), str(tmp_path / "log")
+    for t in (7200, 0, 7260):
+        feed.send([(1, t, 38.0, 1.0, 0.0, 0)])
+    profiles = lambda: vessel_profiles(positions(spark, rows()))
+    streams.start_alerts(feed.stream(), profiles, log, str(tmp_path / "c"), ONCE).awaitTermination()
+    times = sorted(r.timestamp for r in streams.read_alerts(spark, log).collect())
+    assert times == [START, START + timedelta(seconds=7200)]
+
+
+def test_command_line(spark, feed, tmp_path, monkeypatch):
+    monkeypatch.setenv("AIS_BOUNDING_BOXES_JSON", "[[[30, -6], [47, 37]]]")
+    logs = str(tmp_path / "logs")
+    for job in ("positions", "zone_stats"):
+        run.main([job, "--logs", logs, "--checkpoint", str(tmp_path / job), "--files", str(feed.path), "--once"])
+    run.main(["fold", "--logs", logs])
+    same(streams.read_latest(spark, f"{logs}/latest"), latest_positions(positions(spark, rows())))
+    same(streams.read_zone_stats(spark, f"{logs}/zone_stats"), zone_stats(positions(spark, rows())))
 
 
 def test_failing_sink_fails_the_query(spark, feed, tmp_path):

@@ -78,12 +78,23 @@ def test_after_earlier_rows(spark):
     minute = 60_000_000
     df = rows_of(spark, {(1, "a"): [0, 5 * minute, 6 * minute, 10 * minute], (2, "a"): [0]})
     last = spark.createDataFrame(
-        [(1, "a", START)], "mmsi int, type string, last_time timestamp"
+        [(1, "a", START)], "mmsi int, type string, kept_at timestamp"
     )
     found = kept_of(S.suppress_after(df, last))
     assert found == {(1, "a"): [6 * minute], (2, "a"): [0]}
 
 
+def test_late_rows_are_held_back_only_by_earlier_ones(spark):
+    minute = 60_000_000
+    df = rows_of(spark, {(1, "a"): [0, 100 * minute, 118 * minute, 121 * minute, 126 * minute]})
+    kept_at = [START + timedelta(minutes=m) for m in (98, 120, 200)]
+    earlier = spark.createDataFrame(
+        [(1, "a", t) for t in kept_at], "mmsi int, type string, kept_at timestamp"
+    )
+    found = kept_of(S.suppress_after(df, earlier))
+    assert found == {(1, "a"): [0, 118 * minute, 126 * minute]}
+
+
 def test_nulls_are_left_out(spark):
     df = spark.createDataFrame(
         [(None, "a", START), (1, "a", None)], "mmsi int, type string, timestamp timestamp"
