@@ -21,8 +21,6 @@ def build_session(app_name: str, configs: dict[str, str] | None = None) -> Spark
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # the JVM does not compile longer methods; Spark then splits the stage's code
-        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings.update(configs or {})
     builder = SparkSession.builder.appName(app_name)
