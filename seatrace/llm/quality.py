@@ -23,7 +23,8 @@ from seatrace.llm.common import ships_by_value
 FIT_DOCUMENTS = 3000
 ROUNDS = 150
 LEARNING_RATE = 0.1
-DECAY = 1e-4
+#: Weights have a normal prior of this precision, which counts less the more documents there are.
+PRIOR = 1.0
 #: Bytes of text whose features are computed together.
 TEXT_BLOCK = 1 << 20
 
@@ -171,10 +172,10 @@ def marginals(emission: np.ndarray, there: np.ndarray, moves: np.ndarray) -> np.
 
 
 def fit_lines(features: np.ndarray, n_lines: np.ndarray, good: np.ndarray) -> Model:
-    """Maximise the chains' mean log-likelihood; every line has its document's label.
+    """Maximise the chains' mean log-likelihood per line; every line has its document's label.
 
-    Documents of one label count as much as those of the other in the gradient, so that a
-    rare label is learnt; the bias then shifts to the true share.
+    A document counts as one, however many lines it has, and labels keep their share, so a
+    text that tells nothing is judged as most are.
     """
     center, scale = features.mean(axis=0), features.std(axis=0) + 1e-3
     x = (features - center) / scale
@@ -185,7 +186,6 @@ def fit_lines(features: np.ndarray, n_lines: np.ndarray, good: np.ndarray) -> Mo
     for chosen in np.array_split(order, max(1, len(order) // 250)):
         rows = np.concatenate([np.arange(begins[d], begins[d + 1]) for d in chosen])
         groups.append((x[rows], n_lines[chosen], good[chosen].astype(np.float64)))
-    share = np.clip(good.mean(), 0.02, 0.98)
     weights, bias, moves = np.zeros(x.shape[1]), 0.0, np.zeros((2, 2))
     theta = np.concatenate([weights, [bias], moves.ravel()])
     first, second = np.zeros_like(theta), np.zeros_like(theta)
@@ -195,7 +195,7 @@ def fit_lines(features: np.ndarray, n_lines: np.ndarray, good: np.ndarray) -> Mo
             emission, there = _padded(rows @ theta[:-5] + theta[-5], lengths)
             moves = theta[-4:].reshape(2, 2)
             ahead, behind, potential, total = _forward_backward(emission, there, moves)
-            balance = np.where(label == 1, 0.5 / share, 0.5 / (1 - share)) / np.maximum(lengths, 1)
+            balance = 1 / np.maximum(lengths, 1)
             p = np.exp(np.minimum(ahead[:, :, 1] + behind[:, :, 1] - total[:, None], 0.0))
             push = ((label[:, None] - p) * balance[:, None])[there]
             gradient[:-5] += push @ rows
@@ -208,7 +208,7 @@ def fit_lines(features: np.ndarray, n_lines: np.ndarray, good: np.ndarray) -> Mo
             seen = np.zeros((len(lengths), 2, 2))
             seen[np.arange(len(lengths)), label.astype(int), label.astype(int)] = lengths - 1
             gradient[-4:] += ((seen - expected) * balance[:, None, None]).sum(axis=0).ravel()
-        gradient = gradient / len(n_lines) - DECAY * theta
+        gradient = (gradient - PRIOR * theta) / len(n_lines)
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         theta = theta + LEARNING_RATE * (first / (1 - 0.9**step)) / (
@@ -311,9 +311,9 @@ def fit(docs: DataFrame, labels: DataFrame, documents: int = FIT_DOCUMENTS) -> M
 
 def with_score(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id and score of every row of ``docs``; null and empty texts are one empty line."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # the model travels with the task: a few hundred numbers, whatever the data
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        lambda batches: _scored(batches, shared.value), "doc_id long, score double"
+        lambda batches: _scored(batches, model), "doc_id long, score double"
     )
 
 
@@ -329,10 +329,10 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` that are predicted good, with their columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    model = fit(docs, labels)
     columns = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), F.col("text").alias("text"))
     schema = columns.drop("text").schema.add("score", "double")
-    scored = columns.mapInArrow(lambda batches: _scored(batches, shared.value), schema)
+    scored = columns.mapInArrow(lambda batches: _scored(batches, model), schema)
     return scored.filter("score >= 0.5").select("_doc.*")
 
 
