@@ -108,18 +108,22 @@ FROM g
 
 BYTES = """
 WITH t AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
-places AS (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM t),
-s AS (SELECT doc_id, i, CASE WHEN 2 * i + 100 <= length(h) THEN substr(h, 2 * i + 1, 100) END AS w,
-             substr(h, 2 * i + 1, 2) AS b FROM places),
-first AS (SELECT w, min(doc_id) AS d FROM s WHERE w IS NOT NULL GROUP BY w),
-f AS (SELECT s.doc_id, s.i, s.b, coalesce(first.d < s.doc_id, false) AS hit FROM s LEFT JOIN first USING (w)),
-c AS (SELECT *, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f),
-e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM c),
-g AS (SELECT doc_id, count(*) AS n, count_if(gone) AS r, count_if(opens) AS o,
-             string_agg(b, '' ORDER BY i) FILTER (NOT gone) AS kept FROM e GROUP BY doc_id)
-SELECT t.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed,
-       CAST(coalesce(o, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
-FROM t LEFT JOIN g USING (doc_id)
+places AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM t WHERE length(h) >= 100),
+s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w FROM places),
+first AS (SELECT w, min(doc_id) AS d FROM s GROUP BY w HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT s.doc_id, s.i FROM s JOIN first USING (w) WHERE first.d < s.doc_id),
+islands AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER o <= 50 THEN 0 ELSE 1 END AS opens
+            FROM hits WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM islands),
+spans AS (SELECT doc_id, n, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, n),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+cut AS (SELECT g.doc_id, count(*) AS o, sum(g.b - g.a) AS r, max(g.b) AS e,
+               string_agg(substr(t.h, 2 * before + 1, 2 * (g.a - before)), '' ORDER BY g.a) AS kept
+        FROM gaps g JOIN t USING (doc_id) GROUP BY g.doc_id)
+SELECT t.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(o, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(e, 0) + 1))) AS kept_sha256
+FROM t LEFT JOIN cut USING (doc_id)
 """
 
 WORDS = r"""
