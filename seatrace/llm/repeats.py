@@ -4,17 +4,19 @@ suffix-array dedup (bytes) and suffix-automaton dedup (words) share.
 Documents are dealt to chunks once; all passes below read that same shuffle.
 
 1. Every window has an anchor: its k-gram with the smallest hash. Equal windows have equal
-   anchors. A chunk sends 32-bit residues of its distinct anchors to their buckets, and gets
-   back those that other chunks have too.
-2. Windows in a row with one anchor form a fragment. A chunk sends its distinct fragments
-   with a repeated anchor, each with the smallest doc_id that has it. The bucket solves each
-   anchor: for every distinct fragment, the smallest doc_id of all chunks, and which of its
-   windows occur in a fragment of a still smaller doc_id.
-3. The chunk marks the windows of its documents.
+   anchors. A chunk sends 32-bit residues of its distinct anchors to their buckets, and is
+   told which of them other chunks have too, a bit for each.
+2. Windows in a row with one anchor form a fragment. A chunk sends the hashes of its distinct
+   fragments with a repeated anchor, each with the smallest doc_id that has it, and learns
+   the smallest doc_id of all chunks.
+3. Where an anchor has several different fragments, the chunk of a fragment's smallest doc_id
+   is asked for its text. The bucket solves these: which windows of a fragment occur in a
+   fragment of a still smaller doc_id.
+4. The chunk marks the windows of its documents.
 
 Copies collapse within a chunk before anything is sent, so a passage that a third of all
-documents share costs a row per chunk. An anchor found in many chunks is likely the edge of
-such a passage, where every document differs: its windows are dealt out one by one, by the
+documents share costs a row per chunk. At its edges every document differs: an anchor with
+very many different fragments is crowded, and its windows are dealt out one by one, by the
 hash of the whole window, so that no bucket gathers them. Nothing is capped or sampled.
 
 A document must fit a task's memory some twenty-fold. Hashes have 64 bits; the residues of
@@ -39,8 +41,8 @@ U64 = np.uint64
 #: Text of a chunk, and of what is hashed at a time.
 CHUNK_BYTES = 8 << 20
 BLOCK_BYTES = 1 << 20
-#: An anchor in more chunks than this is dealt out window by window.
-CROWDED_CHUNKS = 32
+#: An anchor with more fragments than this, beyond one for each chunk, is dealt out by window.
+CROWDED_FRAGMENTS = 2000
 POSITION_BITS = 24
 POSITION = U64((1 << POSITION_BITS) - 1)
 
@@ -165,51 +167,97 @@ def _split(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
             yield int(bucket[a]), slice(a, b)
 
 
-ANCHORS = "bucket long, chunk long, residues binary"
-ANCHORS_ARROW = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("residues", pa.binary())])
-SHARED = ANCHORS + ", crowded binary"
-SHARED_ARROW = ANCHORS_ARROW.append(pa.field("crowded", pa.binary()))
-FRAGMENTS = (
-    "bucket long, chunk long, crowded boolean, ids binary, anchors binary, docs binary, "
-    "several binary, sizes binary, data binary"
-)
-FRAGMENTS_ARROW = pa.schema(
-    [("bucket", pa.int64()), ("chunk", pa.int64()), ("crowded", pa.bool_())]
-    + [(name, pa.binary()) for name in ("ids", "anchors", "docs", "several", "sizes", "data")]
+def _rows_of(names: str, **kinds: str) -> tuple[str, pa.Schema]:
+    """A schema of binary columns, or of the kinds named, for Spark and for Arrow."""
+    arrow = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    columns = [(name, kinds.get(name, "binary")) for name in names.split()]
+    return ", ".join(f"{n} {k}" for n, k in columns), pa.schema([(n, arrow[k]) for n, k in columns])
+
+
+#: Rows between chunks and buckets; binary columns are packed arrays.
+ANCHORS, ANCHORS_ARROW = _rows_of("bucket chunk residues many more", bucket="long", chunk="long")
+SHARED, SHARED_ARROW = _rows_of("bucket chunk shared crowded", bucket="long", chunk="long")
+FRAGMENTS, FRAGMENTS_ARROW = _rows_of(
+    "bucket chunk crowded ids residues docs several", bucket="long", chunk="long", crowded="boolean"
 )
-FOUND = "chunk long, crowded boolean, ids binary, anchors binary, docs binary, masks binary"
-FOUND_ARROW = pa.schema(
-    [("chunk", pa.int64()), ("crowded", pa.bool_())]
-    + [(name, pa.binary()) for name in ("ids", "anchors", "docs", "masks")]
+#: ids are fragments with their docs, or with masks if these are there; windows stand alone.
+ANSWERS, ANSWERS_ARROW = _rows_of(
+    "chunk ids docs masks wanted windows anchors window_docs", chunk="long"
 )
+TEXTS, TEXTS_ARROW = _rows_of("bucket chunk ids residues docs sizes data", bucket="long", chunk="long")
 
 
-def _send_anchors(key: tuple, table: pa.Table, task: Task) -> pa.Table:
-    found = [block.anchor[use] for block, _, use, _ in _blocks(table, task)]
-    anchors = np.unique(np.concatenate(found)) if found else np.empty(0, U64)
+def _packed_ids(ids: np.ndarray) -> bytes:
+    """doc_ids in 32 bits where they fit; a leading byte tells."""
+    if len(ids) and 0 <= ids.min() and ids.max() < 1 << 32:
+        return b"\4" + ids.astype(np.uint32).tobytes()
+    return b"\10" + ids.tobytes()
+
+
+def _unpacked_ids(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint32 if data[:1] == b"\4" else np.int64, offset=1).astype(np.int64)
+
+
+def _bits(data: bytes, count: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8), count=count).astype(bool)
+
+
+def _residues(
+    found: list[np.ndarray], fragments: list[np.ndarray], task: Task
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Sorted distinct residues of a chunk's anchors by bucket, and how many fragments each
+    has beyond one."""
+    _, at = np.unique(np.concatenate([np.empty(0, U64), *fragments]), return_index=True)
+    anchors, counts = np.unique(np.concatenate([np.empty(0, U64), *found])[at], return_counts=True)
     bucket, residue = _key(anchors, task.buckets)
     order = np.lexsort((residue, bucket))
-    bucket, residue = bucket[order], residue[order]
-    rows = [
-        {"bucket": b, "chunk": key[0].as_py(), "residues": np.unique(residue[part]).tobytes()}
-        for b, part in _split(bucket)
-    ]
+    residue, counts = residue[order], counts[order]
+    for b, part in _split(bucket[order]):
+        own, first = np.unique(residue[part], return_index=True)
+        yield b, own, np.add.reduceat(counts[part], first) - 1
+
+
+def _fragments(block: Block, run: np.ndarray, task: Task) -> np.ndarray:
+    return block.hasher.spans(block.first[run], block.last[run] + task.window)
+
+
+def _send_anchors(key: tuple, table: pa.Table, task: Task) -> pa.Table:
+    found, fragments = [], []
+    for block, _, use, _ in _blocks(table, task):
+        found.append(block.anchor[use])
+        fragments.append(_fragments(block, use, task))
+    rows = []
+    for b, residues, more in _residues(found, fragments, task):
+        many = np.flatnonzero(more)
+        rows.append(
+            {
+                "bucket": b, "chunk": key[0].as_py(), "residues": residues.tobytes(),
+                "many": many.astype(np.uint32).tobytes(), "more": more[many].astype(np.uint32).tobytes(),
+            }
+        )
     return pa.Table.from_pylist(rows, schema=ANCHORS_ARROW)
 
 
 def _share_anchors(key: tuple, table: pa.Table) -> pa.Table:
-    """Each chunk's residues that some other chunk has as well."""
+    """For each chunk, which of its residues some other chunk has as well, in their order."""
     sent = [np.frombuffer(x, np.uint32) for x in table.column("residues").to_pylist()]
     values, counts = np.unique(np.concatenate(sent), return_counts=True)
-    shared, crowded = values[counts > 1], values[counts > CROWDED_CHUNKS]
+    beyond = np.zeros(len(values), np.int64)
+    for residues, many, more in zip(sent, *(table.column(x).to_pylist() for x in ("many", "more"))):
+        where = np.searchsorted(values, residues[np.frombuffer(many, np.uint32)])
+        beyond[where] += np.frombuffer(more, np.uint32)
+    crowded = values[beyond > CROWDED_FRAGMENTS]
+    # an anchor of one chunk is shared if it is crowded, so that its chunk learns of it
+    shared = values[(counts > 1) | (beyond > CROWDED_FRAGMENTS)]
     rows = []
     for chunk, residues in zip(table.column("chunk").to_pylist(), sent):
-        own = residues[np.isin(residues, shared, assume_unique=True)]
-        if len(own):
+        own = np.isin(residues, shared, assume_unique=True)
+        if own.any():
+            crowd = np.isin(residues, crowded, assume_unique=True)
             rows.append(
                 {
-                    "bucket": key[0].as_py(), "chunk": chunk, "residues": own.tobytes(),
-                    "crowded": np.packbits(np.isin(own, crowded, assume_unique=True)).tobytes(),
+                    "bucket": key[0].as_py(), "chunk": chunk, "shared": np.packbits(own).tobytes(),
+                    "crowded": np.packbits(crowd).tobytes() if crowd.any() else b"",
                 }
             )
     return pa.Table.from_pylist(rows, schema=SHARED_ARROW)
@@ -223,14 +271,18 @@ def _member(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(sorted_values[at] == x, at, -1)
 
 
-def _shared_keys(table: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted (residue, bucket) keys of repeated anchors, and whether each is crowded."""
+def _shared_keys(
+    found: list[np.ndarray], fragments: list[np.ndarray], shared: pa.Table, task: Task
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of the chunk's anchors that other chunks have, and whether each is crowded."""
+    told = {row["bucket"]: row for row in shared.to_pylist()}
     keys, crowded = [np.empty(0, U64)], [np.empty(0, bool)]
-    columns = [table.column(name).to_pylist() for name in ("bucket", "residues", "crowded")]
-    for bucket, residues, bits in zip(*columns):
-        own = np.frombuffer(residues, np.uint32)
-        keys.append(own.astype(U64) * U64(buckets) + U64(bucket))
-        crowded.append(np.unpackbits(np.frombuffer(bits, np.uint8), count=len(own)).astype(bool))
+    for bucket, residues, _ in _residues(found, fragments, task):
+        if row := told.get(bucket):
+            own = _bits(row["shared"], len(residues))
+            keys.append(residues[own].astype(U64) * U64(task.buckets) + U64(bucket))
+            crowd = _bits(row["crowded"], len(residues)) if row["crowded"] else np.zeros(len(own), bool)
+            crowded.append(crowd[own])
     keys, crowded = np.concatenate(keys), np.concatenate(crowded)
     order = np.argsort(keys)
     return keys[order], crowded[order]
@@ -243,160 +295,175 @@ def _windows(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return run, np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count) + first[run]
 
 
-def _gather(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> bytes:
-    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin, size)
-    return data[at].tobytes()
-
-
 def _send_fragments(key: tuple, table: pa.Table, shared: pa.Table, task: Task) -> pa.Table:
-    keys, crowded = _shared_keys(shared, task.buckets)
-    chunk = key[0].as_py()
-    read = list(_candidate_blocks(table, task, keys))
-    parts, single = [], []
-    for block, ids, run, at in read:
-        in_crowd = (at >= 0) & crowded[np.maximum(at, 0)] if len(crowded) else np.zeros(len(run), bool)
-        plain = run[~in_crowd]
-        begin, end = block.first[plain], block.last[plain] + task.window
-        if task.words:
-            low, high = block.starts[begin], block.ends[end - 1]
-        else:
-            low, high = begin, end
-        fragment = block.hasher.spans(begin, end)
-        _, unique = np.unique(fragment, return_index=True)
-        parts.append(
-            (fragment, block.anchor[plain], ids[block.document[plain]], unique, low, high, block.data)
+    """Hashes of the chunk's fragments, and of single windows where an anchor is crowded."""
+    plain, single = [], []
+    for block, ids, run, crowd in _candidates(table, shared, task):
+        own = run[~crowd]
+        plain.append(
+            (
+                _fragments(block, own, task),
+                block.anchor[own],
+                ids[block.document[own]],
+            )
         )
-        crowd = run[in_crowd]
-        which, window = _windows(block.first[crowd], block.last[crowd])
+        own = run[crowd]
+        which, window = _windows(block.first[own], block.last[own])
         single.append(
             (
                 block.hasher.spans(window, window + task.window),
-                block.anchor[crowd][which],
-                ids[block.document[crowd]][which],
+                block.anchor[own][which],
+                ids[block.document[own]][which],
             )
         )
-    rows = _fragment_rows(parts, task, chunk) + _single_rows(single, task, chunk)
+    rows = _fragment_rows(plain, False, task, key[0].as_py())
+    rows += _fragment_rows(single, True, task, key[0].as_py())
     return pa.Table.from_pylist(rows, schema=FRAGMENTS_ARROW)
 
 
-def _candidate_blocks(table: pa.Table, task: Task, keys: np.ndarray):
-    """Blocks with the runs whose anchor is repeated, here or in another chunk."""
+def _candidates(
+    table: pa.Table, shared: pa.Table, task: Task
+) -> list[tuple[Block, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks, their ids, the runs whose anchor another document has, and which are crowded."""
     read = list(_blocks(table, task))
-    anchors = np.concatenate([np.empty(0, U64), *(b.anchor[use] for b, _, use, _ in read)])
+    found = [block.anchor[use] for block, _, use, _ in read]
+    fragments = [_fragments(block, use, task) for block, _, use, _ in read]
+    keys, crowded = _shared_keys(found, fragments, shared, task)
     owners = np.concatenate([np.empty(0, np.int64), *(ids[b.document[use]] for b, ids, use, _ in read)])
-    order = np.lexsort((owners, anchors))
-    anchors, owners = anchors[order], owners[order]
-    new = np.concatenate(([True], anchors[1:] != anchors[:-1])) if len(anchors) else np.empty(0, bool)
-    edges = np.flatnonzero(new)
-    ends = np.concatenate((edges[1:], [len(anchors)])) - 1
-    local = anchors[edges][owners[edges] != owners[ends]] if len(edges) else anchors
+    anchors = np.concatenate([np.empty(0, U64), *found])
+    local, _, several, _ = _collapsed(anchors, owners)
+    local = local[several]
+    out = []
     for block, ids, use, _ in read:
         bucket, residue = _key(block.anchor, task.buckets)
         at = _member(keys, residue.astype(U64) * U64(task.buckets) + bucket.astype(U64))
         run = np.flatnonzero(use & ((at >= 0) | (_member(local, block.anchor) >= 0)))
-        yield block, ids, run, at[run]
+        at = at[run]
+        crowd = (at >= 0) & crowded[np.maximum(at, 0)] if len(crowded) else np.zeros(len(run), bool)
+        out.append((block, ids, run, crowd))
+    return out
+
+
+def _fragment_rows(found: list[tuple], crowded: bool, task: Task, chunk: int) -> list[dict]:
+    """A fragment goes to the bucket of its anchor; a single window to that of its own hash."""
+    hashes, anchors, docs = (np.concatenate([np.empty(0, k), *x]) for k, x in zip((U64, U64, np.int64), zip(*found)))
+    ids, smallest, several, at = _collapsed(hashes, docs)
+    anchors = anchors[at]
+    bucket, residue = _key(anchors, task.buckets)
+    if crowded:
+        bucket = (ids % U64(task.buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return [
+        {
+            "bucket": b, "chunk": chunk, "crowded": crowded, "ids": ids[order[part]].tobytes(),
+            # a chunk finds crowded windows by their anchor again
+            "residues": (anchors if crowded else residue)[order[part]].tobytes(),
+            "docs": _packed_ids(smallest[order[part]]),
+            "several": np.packbits(several[order[part]]).tobytes(),
+        }
+        for b, part in _split(bucket[order])
+    ]
 
 
 def _collapsed(fragment: np.ndarray, docs: np.ndarray):
     """For sorted distinct fragments: smallest doc_id, whether other ids have it, a position."""
     order = np.lexsort((docs, fragment))
     f, d = fragment[order], docs[order]
-    edges = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
-    ends = np.concatenate((edges[1:], [len(f)])) - 1
+    edges = np.flatnonzero(np.append(True, f[1:] != f[:-1])[: len(f)])
+    ends = np.append(edges[1:], len(f))[: len(edges)] - 1
     return f[edges], d[edges], d[edges] != d[ends], order[edges]
 
 
-def _fragment_rows(parts: list[tuple], task: Task, chunk: int) -> list[dict]:
-    fragment = np.concatenate([np.empty(0, U64), *(p[0] for p in parts)])
-    if not len(fragment):
-        return []
-    anchor = np.concatenate([p[1] for p in parts])
-    docs = np.concatenate([p[2] for p in parts])
-    source = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-    low = np.concatenate([p[4] for p in parts])
-    high = np.concatenate([p[5] for p in parts])
-    ids, smallest, several, at = _collapsed(fragment, docs)
-    bucket = (anchor[at] % U64(task.buckets)).astype(np.int64)
+def _answer(key: tuple, table: pa.Table) -> pa.Table:
+    """For each chunk in one row: the smallest doc_id of each fragment and single window of
+    which it has a greater one; and what text is wanted, as the chunk has the smallest."""
+    rows = table.to_pylist()
+    out = {row["chunk"]: {"chunk": row["chunk"]} | dict.fromkeys(ANSWERS_ARROW.names[1:], b"") for row in rows}
+    _answer_fragments([row for row in rows if not row["crowded"]], out)
+    _answer_windows([row for row in rows if row["crowded"]], out)
+    told = [x for x in out.values() if x["ids"] or x["wanted"] or x["windows"]]
+    return pa.Table.from_pylist(told, schema=ANSWERS_ARROW)
+
+
+def _least(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple]]:
+    """Distinct ids, their smallest doc_ids, a position of each; and for each row its ids,
+    their places among the distinct, and where another doc_id than the smallest has them."""
+    own = [np.frombuffer(row["ids"], U64) for row in rows]
+    held = [_unpacked_ids(row["docs"]) for row in rows]
+    distinct, smallest, _, at = _collapsed(np.concatenate(own), np.concatenate(held))
+    parts = []
+    for row, ids, docs in zip(rows, own, held):
+        where = np.searchsorted(distinct, ids)
+        parts.append((ids, where, docs, (smallest[where] < docs) | _bits(row["several"], len(ids))))
+    return distinct, smallest, at, parts
+
+
+def _answer_fragments(rows: list[dict], out: dict[int, dict]) -> None:
+    if not rows:
+        return
+    distinct, smallest, at, parts = _least(rows)
+    anchors = np.concatenate([np.frombuffer(row["residues"], np.uint32) for row in rows])[at]
+    _, group, size = np.unique(anchors, return_inverse=True, return_counts=True)
+    solved = size[group] > 1  # anchors with several fragments
+    for row, (ids, where, docs, greater) in zip(rows, parts):
+        wanted = solved[where] & (smallest[where] == docs)
+        if greater.any():
+            out[row["chunk"]] |= {
+                "ids": ids[greater].tobytes(), "docs": _packed_ids(smallest[where][greater])
+            }
+        out[row["chunk"]]["wanted"] = ids[wanted].tobytes()
+
+
+def _answer_windows(rows: list[dict], out: dict[int, dict]) -> None:
+    """Equal single windows have equal hashes: there is nothing to solve."""
+    if not rows:
+        return
+    _, smallest, _, parts = _least(rows)
+    for row, (ids, where, _, greater) in zip(rows, parts):
+        if greater.any():
+            out[row["chunk"]] |= {
+                "windows": ids[greater].tobytes(),
+                "anchors": np.unique(np.frombuffer(row["residues"], U64)[greater]).tobytes(),
+                "window_docs": _packed_ids(smallest[where][greater]),
+            }
+
+
+def _send_texts(key: tuple, table: pa.Table, wanted: pa.Table, task: Task) -> pa.Table:
+    """Texts of the fragments asked for, from the smallest of the chunk's documents with it."""
+    asked = [np.frombuffer(x, U64) for x in wanted.column("wanted").to_pylist()]
+    asked = np.unique(np.concatenate([np.empty(0, U64), *asked]))
+    if not len(asked):
+        return pa.Table.from_pylist([], schema=TEXTS_ARROW)
+    hashes, anchors, docs, texts = [], [], [], []
+    for block, ids, use, _ in _blocks(table, task):
+        end = block.last + task.window
+        fragment = block.hasher.spans(block.first, end)
+        run = np.flatnonzero((_member(asked, fragment) >= 0) & use)
+        owner = ids[block.document[run]]
+        f, d, _, at = _collapsed(fragment[run], owner)
+        run = run[at]
+        low, high = block.first[run], end[run]
+        if task.words:
+            low, high = block.starts[low], block.ends[high - 1]
+        hashes.append(f)
+        docs.append(d)
+        anchors.append(block.anchor[run])
+        texts += [block.data[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist())]
+    ids, smallest, _, at = _collapsed(np.concatenate(hashes), np.concatenate(docs))
+    bucket, residue = _key(np.concatenate(anchors)[at], task.buckets)
     order = np.argsort(bucket, kind="stable")
-    bucket, ids, smallest, several, at = (x[order] for x in (bucket, ids, smallest, several, at))
-    size = high[at] - low[at]
     rows = []
-    for b, part in _split(bucket):
-        where, sizes = at[part], size[part]
-        pieces = [parts[s][6][lo:hi].tobytes() for s, lo, hi in zip(source[where].tolist(), low[where].tolist(), high[where].tolist())]
+    for b, part in _split(bucket[order]):
+        chosen = order[part]
+        parts = [texts[i] for i in at[chosen].tolist()]
         rows.append(
             {
-                "bucket": b, "chunk": chunk, "crowded": False, "ids": ids[part].tobytes(),
-                "anchors": anchor[where].tobytes(), "docs": smallest[part].tobytes(),
-                "several": np.packbits(several[part]).tobytes(),
-                "sizes": sizes.astype(np.int32).tobytes(), "data": b"".join(pieces),
+                "bucket": b, "chunk": key[0].as_py(), "ids": ids[chosen].tobytes(),
+                "residues": residue[chosen].tobytes(), "docs": _packed_ids(smallest[chosen]),
+                "sizes": np.fromiter(map(len, parts), np.int32, len(parts)).tobytes(), "data": b"".join(parts),
             }
         )
-    return rows
-
-
-def _single_rows(single: list[tuple], task: Task, chunk: int) -> list[dict]:
-    window = np.concatenate([np.empty(0, U64), *(s[0] for s in single)])
-    if not len(window):
-        return []
-    anchor = np.concatenate([s[1] for s in single])
-    ids, smallest, several, at = _collapsed(window, np.concatenate([s[2] for s in single]))
-    bucket = (ids % U64(task.buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    bucket, ids, smallest, several, at = (x[order] for x in (bucket, ids, smallest, several, at))
-    return [
-        {
-            "bucket": b, "chunk": chunk, "crowded": True, "ids": ids[part].tobytes(),
-            "anchors": anchor[at[part]].tobytes(), "docs": smallest[part].tobytes(),
-            "several": np.packbits(several[part]).tobytes(), "sizes": b"", "data": b"",
-        }
-        for b, part in _split(bucket)
-    ]
-
-
-def _solve(key: tuple, table: pa.Table, task: Task) -> pa.Table:
-    """What each chunk must know of its fragments and single windows in this bucket."""
-    rows = table.to_pylist()
-    out = []
-    for crowded in (False, True):
-        chosen = [row for row in rows if row["crowded"] == crowded]
-        if chosen:
-            out += _solve_rows(chosen, crowded, task)
-    return pa.Table.from_pylist(out, schema=FOUND_ARROW)
-
-
-def _solve_rows(rows: list[dict], crowded: bool, task: Task) -> list[dict]:
-    own = [np.frombuffer(row["ids"], U64) for row in rows]
-    ids = np.concatenate(own)
-    docs = np.concatenate([np.frombuffer(row["docs"], np.int64) for row in rows])
-    distinct, smallest, _, at = _collapsed(ids, docs)
-    masks: dict[int, bytes] = {}
-    if not crowded:
-        anchors = np.concatenate([np.frombuffer(row["anchors"], U64) for row in rows])[at]
-        begins = np.concatenate(
-            [np.concatenate(([0], np.cumsum(np.frombuffer(row["sizes"], np.int32))))[:-1] for row in rows]
-        )[at]
-        sizes = np.concatenate([np.frombuffer(row["sizes"], np.int32) for row in rows])[at]
-        row_of = np.repeat(np.arange(len(rows)), [len(x) for x in own])[at]
-        masks = _masks(rows, anchors, smallest, row_of, begins, sizes, task)
-    out = []
-    for row, mine in zip(rows, own):
-        where = np.searchsorted(distinct, mine)
-        least = smallest[where]
-        held = np.frombuffer(row["docs"], np.int64)
-        several = np.unpackbits(np.frombuffer(row["several"], np.uint8), count=len(mine)).astype(bool)
-        marked = np.array([w in masks for w in where.tolist()], bool) if masks else np.zeros(len(mine), bool)
-        tell = (least < held) | several | marked
-        if tell.any():
-            out.append(
-                {
-                    "chunk": row["chunk"], "crowded": crowded, "ids": mine[tell].tobytes(),
-                    "anchors": np.frombuffer(row["anchors"], U64)[tell].tobytes() if crowded else b"",
-                    "docs": least[tell].tobytes(),
-                    "masks": b"".join(masks.get(w, EMPTY) for w in where[tell].tolist()),
-                }
-            )
-    return out
+    return pa.Table.from_pylist(rows, schema=TEXTS_ARROW)
 
 
 #: Windows of a fragment as bits; a run has at most as many windows as a window has symbols.
@@ -404,71 +471,91 @@ MASK_BYTES = 8
 EMPTY = bytes(MASK_BYTES)
 
 
-def _masks(rows, anchors, smallest, row_of, begins, sizes, task: Task) -> dict[int, bytes]:
-    """By distinct fragment: bits of the windows that a fragment of a smaller doc_id holds."""
-    order = np.lexsort((smallest, anchors))
-    masks: dict[int, bytes] = {}
+def _solve(key: tuple, table: pa.Table, task: Task) -> pa.Table:
+    """For each chunk, the fragments with windows that a smaller document's fragment holds."""
+    rows = table.to_pylist()
+    own = [np.frombuffer(row["ids"], U64) for row in rows]
+    residues = np.concatenate([np.frombuffer(row["residues"], np.uint32) for row in rows])
+    docs = np.concatenate([_unpacked_ids(row["docs"]) for row in rows])
+    sizes = [np.frombuffer(row["sizes"], np.int32) for row in rows]
+    ends = [np.cumsum(x) for x in sizes]
+    row_of = np.repeat(np.arange(len(rows)), [len(x) for x in own])
+    end, size = np.concatenate(ends), np.concatenate(sizes)
+    masks: list[bytes] = [EMPTY] * len(docs)
+    order = np.lexsort((docs, residues))
     batch: list[np.ndarray] = []
     symbols = 0
 
     def solved() -> None:
         where = np.concatenate(batch)
         texts = [
-            rows[r]["data"][b : b + s]
-            for r, b, s in zip(row_of[where].tolist(), begins[where].tolist(), sizes[where].tolist())
+            rows[r]["data"][e - n : e]
+            for r, e, n in zip(row_of[where].tolist(), end[where].tolist(), size[where].tolist())
         ]
         group = np.repeat(np.arange(len(batch)), [len(x) for x in batch])
-        for w, bits in zip(where.tolist(), task.solve(texts, smallest[where], group, task.window)):
+        for w, bits in zip(where.tolist(), task.solve(texts, docs[where], group, task.window)):
             if bits.any():
                 masks[w] = np.packbits(bits, bitorder="little").tobytes().ljust(MASK_BYTES, b"\0")
 
-    for _, part in _split_any(anchors[order]):
-        if part.stop - part.start > 1:  # else no other fragment has this anchor
-            batch.append(order[part])
-            symbols += int(sizes[order[part]].sum())
-            if symbols >= BLOCK_BYTES:
-                solved()
-                batch, symbols = [], 0
+    for _, part in _split(residues[order].astype(np.int64)):
+        batch.append(order[part])
+        symbols += int(size[order[part]].sum())
+        if symbols >= BLOCK_BYTES:
+            solved()
+            batch, symbols = [], 0
     if batch:
         solved()
-    return masks
-
-
-def _split_any(x: np.ndarray) -> Iterator[tuple[int, slice]]:
-    edges = np.concatenate(([0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        yield a, slice(a, b)
-
-
-def _found(table: pa.Table, crowded: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted ids, smallest doc_ids and masks of what was found; sorted distinct anchors."""
-    rows = [row for row in table.to_pylist() if row["crowded"] == crowded]
+    out, begin = [], 0
+    for row, ids in zip(rows, own):
+        mine = masks[begin : begin + len(ids)]
+        marked = np.array([mask != EMPTY for mask in mine], bool)
+        if marked.any():
+            out.append(
+                dict.fromkeys(ANSWERS_ARROW.names, b"")
+                | {
+                    "chunk": row["chunk"], "ids": ids[marked].tobytes(),
+                    "docs": _packed_ids(docs[begin : begin + len(ids)][marked]),
+                    "masks": b"".join(mask for mask in mine if mask != EMPTY),
+                }
+            )
+        begin += len(ids)
+    return pa.Table.from_pylist(out, schema=ANSWERS_ARROW)
 
-    def joined(name: str, kind) -> np.ndarray:
-        return np.concatenate([np.empty(0, kind), *(np.frombuffer(row[name], kind) for row in rows)])
 
-    ids = joined("ids", U64)
-    order = np.argsort(ids)
-    return ids[order], joined("docs", np.int64)[order], joined("masks", "<u8")[order], np.unique(joined("anchors", U64))
+def _found(rows: list[dict], ids: str, docs: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted ids with their smallest doc_ids and what sorted them."""
+    found = np.concatenate([np.empty(0, U64), *(np.frombuffer(row[ids], U64) for row in rows)])
+    smallest = [_unpacked_ids(row[docs]) for row in rows if row[docs]]
+    order = np.argsort(found)
+    return found[order], np.concatenate([np.empty(0, np.int64), *smallest])[order], order
 
 
 def _mark(key: tuple, table: pa.Table, found: pa.Table, task: Task) -> pa.Table:
     """The chunk's documents with what stays of each."""
-    ids, smallest, masks, _ = _found(found, False)
-    window_ids, window_smallest, _, crowd = _found(found, True)
+    rows = found.to_pylist()
+    ids, smallest, _ = _found([row for row in rows if not row["masks"]], "ids", "docs")
+    masked = [row for row in rows if row["masks"]]
+    mask_ids, mask_docs, order = _found(masked, "ids", "docs")
+    masks = np.concatenate([np.empty(0, "<u8"), *(np.frombuffer(row["masks"], "<u8") for row in masked)])[order]
+    window_ids, window_smallest, _ = _found(rows, "windows", "window_docs")
+    crowd = np.unique(np.concatenate([np.empty(0, U64), *(np.frombuffer(row["anchors"], U64) for row in rows)]))
     counts: dict[str, list] = {"n": [], "n_removed": [], "n_spans": [], "kept": []}
     for block, docs, use, _ in _blocks(table, task):
         n = block.bounds[-1]
         marked = [np.empty(0, np.int64)]
-        if len(ids) and len(block.first):
-            at = _member(ids, block.hasher.spans(block.first, block.last + task.window))
-            run = np.flatnonzero((at >= 0) & use)
-            which, window = _windows(block.first[run], block.last[run])
-            at = at[run][which]
-            own = docs[block.document[run]][which]
-            offset = (window - block.first[run][which]).astype(np.uint64)
-            bit = (masks[at] >> offset) & U64(1)
-            marked.append(window[(own > smallest[at]) | ((own == smallest[at]) & (bit == 1))])
+        if (len(ids) or len(mask_ids)) and len(block.first):
+            fragment = block.hasher.spans(block.first, block.last + task.window)
+            own = docs[block.document]
+            at = _member(ids, fragment)
+            if len(ids):  # a smaller document has the fragment as a whole
+                run = np.flatnonzero((at >= 0) & use & (own > smallest[np.maximum(at, 0)]))
+                marked.append(_windows(block.first[run], block.last[run])[1])
+            at = _member(mask_ids, fragment)
+            if len(mask_ids):
+                run = np.flatnonzero((at >= 0) & use & (own == mask_docs[np.maximum(at, 0)]))
+                which, window = _windows(block.first[run], block.last[run])
+                offset = (window - block.first[run][which]).astype(np.uint64)
+                marked.append(window[(masks[at[run][which]] >> offset) & U64(1) == 1])
         if len(window_ids) and len(block.first):
             run = np.flatnonzero((_member(crowd, block.anchor) >= 0) & use)
             which, window = _windows(block.first[run], block.last[run])
@@ -527,7 +614,7 @@ def without_repeats(
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     size = docs.select(F.sum(F.octet_length(text))).first()[0] or 0
-    parts = max(2 * shuffle_partitions(spark), -(-size // CHUNK_BYTES))
+    parts = max(shuffle_partitions(spark), -(-size // CHUNK_BYTES))
     task = Task(words, window, gram, parts, solve, whole_characters)
     rest = F.struct(*carry) if carry else F.lit(0)
     doc_id = F.col("doc_id").cast("long")
@@ -546,7 +633,15 @@ def without_repeats(
         .cogroup(shared.groupBy("chunk"))
         .applyInArrow(lambda key, a, b: _send_fragments(key, a, b, task), FRAGMENTS)
     )
-    found = fragments.groupBy("bucket").applyInArrow(lambda key, table: _solve(key, table, task), FOUND)
+    answers = fragments.groupBy("bucket").applyInArrow(_answer, ANSWERS)
+    solved = (
+        texts.groupBy("chunk")
+        .cogroup(answers.filter("length(wanted) > 0").groupBy("chunk"))
+        .applyInArrow(lambda key, a, b: _send_texts(key, a, b, task), TEXTS)
+        .groupBy("bucket")
+        .applyInArrow(lambda key, table: _solve(key, table, task), ANSWERS)
+    )
+    found = answers.filter("length(ids) > 0 or length(windows) > 0").union(solved)
     result = texts.drop("chunk", "text").schema.add("n", "long").add("n_removed", "long")
     result = result.add("n_spans", "long").add("kept", "binary")
     return (

@@ -32,15 +32,15 @@ def brute(rows, words, window=50):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("crowded", [32, 1])
+@pytest.mark.parametrize("crowded", [2000, 1, 0])
 def test_bytes_match_brute_force(spark, monkeypatch, crowded):
-    monkeypatch.setattr(repeats, "CROWDED_CHUNKS", crowded)
+    monkeypatch.setattr(repeats, "CROWDED_FRAGMENTS", crowded)
     assert collected(suffix_array.dedup_bytes_digest(documents(spark))) == brute(texts(), False)
 
 
-@pytest.mark.parametrize("crowded", [32, 1])
+@pytest.mark.parametrize("crowded", [2000, 1, 0])
 def test_words_match_brute_force(spark, monkeypatch, crowded):
-    monkeypatch.setattr(repeats, "CROWDED_CHUNKS", crowded)
+    monkeypatch.setattr(repeats, "CROWDED_FRAGMENTS", crowded)
     got = automaton.dedup_words(documents(spark))
     rows = [(d, n, r, s, hashlib.sha256(k).hexdigest()) for d, n, r, s, k in collected(got)]
     assert sorted(rows, key=repr) == brute(texts(), True)
