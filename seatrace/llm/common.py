@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +28,17 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
 
 
+def text_slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive slices of a string or binary column with about ``size`` bytes."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(ends):
+        before = int(ends[begin - 1]) if begin else 0
+        stop = min(int(np.searchsorted(ends, before + size)) + 1, len(ends))
+        yield begin, stop
+        begin = stop
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Rows written to ``spark.checkpoint.dir``, so that no later loss of an executor
     has to recompute what came before."""
@@ -33,3 +48,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+ships_by_value(__name__)

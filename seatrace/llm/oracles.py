@@ -141,8 +141,75 @@ FROM t LEFT JOIN g USING (doc_id)
 """
 
 
+NEAR_VECTORS = """
+WITH RECURSIVE u AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v,
+         coalesce(len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS usable
+  FROM embeddings),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS u, b.vec_id AS v
+  FROM u AS a JOIN u AS b ON a.usable AND b.usable AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(a, b) AS (
+  SELECT u, v FROM links
+  UNION SELECT reach.a, links.v FROM reach JOIN links ON reach.b = links.u),
+n AS (SELECT u, count(*) AS n FROM links GROUP BY u),
+c AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(c, vec_id) AS component_id,
+       coalesce(c, vec_id) = vec_id AS kept
+FROM u LEFT JOIN n ON vec_id = n.u LEFT JOIN c ON vec_id = c.a
+"""
+
+
+def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd rounds one after the other, one statement part for each."""
+    nearest = """
+  SELECT p.vec_id, p.part, arg_min(b.entry, [d, b.entry]) AS entry, min(d) AS d
+  FROM parts p JOIN book{round} b USING (part),
+       LATERAL (SELECT CAST(list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))
+                AS BIGINT) AS d)
+  GROUP BY p.vec_id, p.part"""
+    steps = [
+        f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(embedding) % {parts} = 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+parts AS MATERIALIZED (
+  SELECT vec_id, part, x[part * (len(x) // {parts}) + 1 : (part + 1) * (len(x) // {parts})] AS x
+  FROM v, range({parts}) AS k(part)),
+firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v QUALIFY entry < {entries}),
+book0 AS MATERIALIZED (SELECT part, entry, x FROM parts JOIN firsts USING (vec_id))"""
+    ]
+    for r in range(rounds):
+        steps.append(
+            f"""near{r} AS MATERIALIZED ({nearest.format(round=r)}),
+sums{r} AS (
+  SELECT part, entry, pos, count(*) AS n, CAST(sum(p.x[pos]) AS BIGINT) AS s
+  FROM near{r} JOIN parts p USING (vec_id, part), LATERAL (SELECT unnest(range(1, len(p.x) + 1)) AS pos)
+  GROUP BY part, entry, pos),
+means{r} AS (
+  SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS x FROM sums{r} GROUP BY part, entry),
+book{r + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m.x, b.x) AS x FROM book{r} b LEFT JOIN means{r} m USING (part, entry))"""
+        )
+    last = f"""near{rounds} AS MATERIALIZED ({nearest.format(round=rounds)}),
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id),
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN coded USING (vec_id), digest"""
+    return ",\n".join([*steps, last])
+
+
 def statements() -> dict[str, str]:
     return {
+        "op11_vector_codes": vector_codes(),
+        "op12_embedding_near_dedup": NEAR_VECTORS,
         "op1_suffix_array_dedup": BYTES,
         "op5_substring_dedup": WORDS,
         "op7_quality_rules": RULES,

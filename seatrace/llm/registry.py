@@ -13,13 +13,16 @@ from seatrace.llm import (
     bpe,
     chat,
     mixing,
+    near_vectors,
     oracles,
+    periodic,
     quality,
     rules,
     simhash,
     suffix_array,
     token_counts,
     topk,
+    vector_codes,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +98,18 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes_digest(*vector_codes.vector_codes(table(spark, sf_dir, "embeddings")))
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.runs_digest(periodic.periodic_runs(documents(spark, sf_dir), plant=True))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_suffix_array_dedup,
@@ -107,6 +122,9 @@ def queries() -> dict[str, Query]:
         op8_exact_top_k,
         op9_chat_format,
         op10_source_mixing,
+        op11_vector_codes,
+        op12_embedding_near_dedup,
+        op13_periodic_runs,
     )
     return {f.__name__: f for f in found}
 
