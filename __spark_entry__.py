@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import sys
 import uuid
+import warnings
 from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -35,7 +37,16 @@ from seatrace.plans.alerts import detect_alerts, emitted_alerts, speed_alerts, s
 from seatrace.plans.heatmap import heatmap_pyramid, heatmap_tiles
 from seatrace.plans.profiles import vessel_profiles
 from seatrace.plans.routes import route_segments
-from seatrace.plans.traffic import daily_traffic, hourly_traffic, sightings, zone_stats
+from seatrace.plans.traffic import (
+    SKETCH_ERROR,
+    WINDOW_KEY,
+    daily_traffic,
+    hourly_traffic,
+    longer_windows,
+    sightings,
+    stats_of_sums,
+    zone_stats,
+)
 from seatrace.session import work_dir
 from seatrace.settings import DEFAULT_BOXES
 from seatrace.sources.streams import read_message_files
@@ -46,14 +57,14 @@ from seatrace.sources.tables import (
     write_batch,
 )
 from seatrace.streaming import jobs as streams
+from seatrace.streaming import windows
 
 try:  # the training-data operators are a part of their own
     import corpus_pipeline
     from seatrace.llm import registry as training
-except ImportError:
-    here = Path(__file__).resolve().parent
-    if (here / "corpus_pipeline.py").exists() and (here / "seatrace/llm/__init__.py").exists():
-        raise
+except ImportError as error:
+    if (Path(__file__).resolve().parent / "seatrace/llm/__init__.py").exists():
+        warnings.warn(f"no training-data queries: {error}", stacklevel=1)
     training = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,25 +169,42 @@ def _job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _feed(spark: SparkSession, sf_dir: str, days: list[tuple[int, int]]) -> DataFrame:
-    """Positions as a stream that sends one span of days of January per micro-batch, in the
-    order given. They went through message text."""
-    folder = _fresh(spark, "feed")
-    rows = to_messages(load_positions(spark, sf_dir).withColumn("day", F.dayofmonth("recorded_at")), None, ["day"])
-    for first, last in days:
-        part = rows.filter(F.col("day").between(first, last)).select("value")
-        part.coalesce(1).write.mode("append").text(folder)
-    return flatten_positions(parse_messages(read_message_files(spark, folder, 1)))
+#: Rows of a micro-batch, one after the other: spans of days of January, in order.
+SPANS = [
+    f"day between {first} and {last}"
+    for first, last in ((1, 5), (6, 10), (11, 15), (16, 20), (21, 25), (26, 31))
+]
+
+
+class Feed:
+    """Positions as a stream that went through message text; a micro-batch for each delivery.
+
+    A delivery is as many files as the rows are read in, and a query over all there is takes
+    them in one micro-batch.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, positions: DataFrame | None = None) -> None:
+        self.spark, self.folder = spark, _fresh(spark, "feed")
+        rows = load_positions(spark, sf_dir) if positions is None else positions
+        keep = rows.withColumns({"day": F.dayofmonth("recorded_at"), "number": F.col("event_id")})
+        self.messages = to_messages(keep, None, ["day", "number"])
+
+    def send(self, condition: str) -> None:
+        self.messages.filter(condition).select("value").write.mode("append").text(self.folder)
 
+    def positions(self, **options) -> DataFrame:
+        return flatten_positions(parse_messages(read_message_files(self.spark, self.folder, **options)))
 
-SPANS = [(1, 5), (6, 10), (11, 15), (16, 20), (21, 25), (26, 31)]
+    def deliver(self, parts: list[str], start: Callable[[DataFrame], StreamingQuery], **options) -> None:
+        """Send part by part, each followed by a run of the query on its own checkpoint."""
+        for part in parts:
+            self.send(part)
+            start(self.positions(**options)).awaitTermination()
 
 
 def _stream_zone_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _fresh(spark, "zone-stats")
-    streams.start_zone_stats(
-        _feed(spark, sf_dir, SPANS), log, _fresh(spark, "checkpoint"), ONCE
-    ).awaitTermination()
+    log, checkpoint = _fresh(spark, "zone-stats"), _fresh(spark, "checkpoint")
+    Feed(spark, sf_dir).deliver(SPANS, lambda rows: streams.start_zone_stats(rows, log, checkpoint, ONCE))
     return streams.read_zone_stats(spark, log)
 
 
@@ -184,55 +212,96 @@ def _stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second half of the month comes under a new checkpoint; both logs are folded."""
     log = _fresh(spark, "zone-stats")
     for spans in (SPANS[:3], SPANS[3:]):
-        streams.start_zone_stats(
-            _feed(spark, sf_dir, spans), log, _fresh(spark, "checkpoint"), ONCE
-        ).awaitTermination()
+        checkpoint = _fresh(spark, "checkpoint")
+        Feed(spark, sf_dir).deliver(
+            spans, lambda rows, at=checkpoint: streams.start_zone_stats(rows, log, at, ONCE)
+        )
     streams.fold(spark, "zone_stats", log)
     return streams.read_zone_stats(spark, log)
 
 
 def _stream_zone_stats_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days come in reverse, so most rows are behind the watermark; then days are settled."""
-    track, latest, log = (_fresh(spark, name) for name in ("track", "latest", "zone-stats"))
+    track, latest, log, one, two = (_fresh(spark, name) for name in ("track", "latest", "zone-stats", "c", "c"))
     backwards = SPANS[::-1]
-    streams.start_zone_stats(
-        _feed(spark, sf_dir, backwards), log, _fresh(spark, "checkpoint"), ONCE
-    ).awaitTermination()
-    streams.start_live_positions(
-        _feed(spark, sf_dir, backwards), track, latest, _fresh(spark, "checkpoint"), ONCE
-    ).awaitTermination()
+    Feed(spark, sf_dir).deliver(backwards, lambda rows: streams.start_zone_stats(rows, log, one, ONCE))
+    Feed(spark, sf_dir).deliver(
+        backwards, lambda rows: streams.start_live_positions(rows, track, latest, two, ONCE)
+    )
     streams.settle_zone_stats(spark, track, log, 0)
     return streams.read_zone_stats(spark, log)
 
 
+#: Two deliveries: most rows, then a seventh of the rows of all days, nearly all of them late.
+LATE_LAST = ["number % 7 != 0", "number % 7 = 0"]
+
+
+def _zone_windows(spark: SparkSession, sf_dir: str, parts: list[str], window: str, fold: bool = False) -> str:
+    """Log of zone windows after the parts, folded halfway if asked for."""
+    log, checkpoint = _fresh(spark, "zone-windows"), _fresh(spark, "checkpoint")
+    feed = Feed(spark, sf_dir)
+    start = lambda rows: windows.start_zone_windows(rows, log, checkpoint, ONCE, window)
+    for at in range(0, len(parts), 3):
+        feed.deliver(parts[at : at + 3], start)
+        if fold:
+            windows.fold_windows(spark, log)
+    return log
+
+
+def _stream_zone_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days come in reverse, and nothing has to be settled."""
+    log = _zone_windows(spark, sf_dir, SPANS[::-1], "10 seconds", fold=True)
+    return windows.read_zone_windows(spark, log).drop("approx_vessels", windows.LATE)
+
+
+def _stream_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours that late rows have touched, corrected, with the number of late messages."""
+    log = _zone_windows(spark, sf_dir, LATE_LAST, "1 hour")
+    return windows.read_late_windows(spark, log).drop("approx_vessels")
+
+
+def _stream_zone_vessels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vessels per zone and hour from the sketches of 10-second windows, held against the
+    distinct vessels of the table: within three standard errors of the sketch."""
+    log = _zone_windows(spark, sf_dir, SPANS, "10 seconds")
+    sums = windows.read_zone_sums(spark, log).select(*WINDOW_KEY, "speed_sum", "speed_count", "messages", "newest", "vessels")
+    hours = stats_of_sums(longer_windows(sums, "1 hour"))
+    located = with_zone(load_positions(spark, sf_dir).filter(F.col("mmsi").isNotNull()))
+    exact = located.groupBy("zone", F.window("recorded_at", "1 hour").alias("w")).agg(
+        F.count_distinct("mmsi").alias("vessels")
+    )
+    exact = exact.select("zone", F.col("w.start").alias("window_start"), "vessels")
+    off = F.abs(F.col("approx_vessels") - F.col("vessels"))
+    return hours.join(exact, ["zone", "window_start"]).select(
+        "zone", "window_start", "vessel_count", "avg_speed", "vessels",
+        (off <= F.greatest(F.lit(1.0), 3 * SKETCH_ERROR * F.col("vessels"))).alias("within_bound"),
+    )
+
+
 def _stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    track, latest = _fresh(spark, "track"), _fresh(spark, "latest")
-    streams.start_live_positions(
-        _feed(spark, sf_dir, SPANS), track, latest, _fresh(spark, "checkpoint"), ONCE
-    ).awaitTermination()
+    track, latest, checkpoint = (_fresh(spark, name) for name in ("track", "latest", "checkpoint"))
+    Feed(spark, sf_dir).deliver(
+        SPANS, lambda rows: streams.start_live_positions(rows, track, latest, checkpoint, ONCE)
+    )
     streams.fold(spark, "latest", latest)
     return streams.read_latest(spark, latest)
 
 
 def _stream_track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    track, latest = _fresh(spark, "track"), _fresh(spark, "latest")
-    streams.start_live_positions(
-        _feed(spark, sf_dir, SPANS), track, latest, _fresh(spark, "checkpoint"), ONCE
-    ).awaitTermination()
+    track, latest, checkpoint = (_fresh(spark, name) for name in ("track", "latest", "checkpoint"))
+    Feed(spark, sf_dir).deliver(
+        SPANS, lambda rows: streams.start_live_positions(rows, track, latest, checkpoint, ONCE)
+    )
     streams.fold(spark, "track", track)
     return streams.read_track(spark, track)
 
 
 def _stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _fresh(spark, "alerts")
-    streams.start_alerts(
-        _feed(spark, sf_dir, SPANS),
-        lambda: vessel_profiles(load_positions(spark, sf_dir)),
-        log,
-        _fresh(spark, "checkpoint"),
-        ONCE,
-        quiet_seconds=DAY,
-    ).awaitTermination()
+    log, checkpoint = _fresh(spark, "alerts"), _fresh(spark, "checkpoint")
+    profiles = lambda: vessel_profiles(load_positions(spark, sf_dir))
+    Feed(spark, sf_dir).deliver(
+        SPANS, lambda rows: streams.start_alerts(rows, profiles, log, checkpoint, ONCE, quiet_seconds=DAY)
+    )
     return streams.read_alerts(spark, log)
 
 
@@ -352,6 +421,9 @@ def position_queries() -> dict[str, Query]:
         "stream_zone_stats": _stream_zone_stats,
         "stream_restart": _stream_restart,
         "stream_zone_stats_late": _stream_zone_stats_late,
+        "stream_zone_windows": _stream_zone_windows,
+        "stream_late_windows": _stream_late_windows,
+        "stream_zone_vessels": _stream_zone_vessels,
         "stream_latest": _stream_latest,
         "stream_track": _stream_track,
         "stream_alerts": lambda spark, sf_dir: _rounded_alerts(_stream_alerts(spark, sf_dir)),

@@ -190,6 +190,32 @@ SELECT zone, window_start, window_start + INTERVAL {seconds} SECOND AS window_en
 FROM windows WHERE zone <> 'unknown' GROUP BY zone, window_start"""
 
 
+def _late_windows() -> str:
+    """Hours that hold a row of the late part whose hour had ended a minute before the newest
+    row of the first part."""
+    return f"""WITH {POSITIONS},
+located AS (
+  SELECT {_zone()} AS zone, CAST(date_trunc('hour', recorded_at) AS TIMESTAMP) AS window_start, speed,
+    recorded_at, event_id % 7 = 0 AS second
+  FROM positions WHERE mmsi IS NOT NULL),
+known AS (SELECT * FROM located WHERE zone <> 'unknown'),
+high AS (SELECT max(recorded_at) - INTERVAL 1 MINUTE AS mark FROM known WHERE NOT second),
+marked AS (SELECT known.*, second AND window_start + INTERVAL 1 HOUR <= mark AS late FROM known, high)
+SELECT zone, window_start, window_start + INTERVAL 1 HOUR AS window_end, coalesce(avg(speed), 0) AS avg_speed,
+  count(*) AS vessel_count, count(*) FILTER (late) AS late_messages, window_start + INTERVAL 1 HOUR AS timestamp
+FROM marked GROUP BY zone, window_start HAVING bool_or(late)"""
+
+
+def _zone_vessels() -> str:
+    return f"""WITH {POSITIONS},
+located AS (
+  SELECT {_zone()} AS zone, CAST(date_trunc('hour', recorded_at) AS TIMESTAMP) AS window_start, speed, mmsi
+  FROM positions WHERE mmsi IS NOT NULL)
+SELECT zone, window_start, count(*) AS vessel_count, coalesce(avg(speed), 0) AS avg_speed,
+  count(DISTINCT mmsi) AS vessels, true AS within_bound
+FROM located WHERE zone <> 'unknown' GROUP BY zone, window_start"""
+
+
 def _latest(source: str = "positions") -> str:
     columns = ["ship_name", "latitude", "longitude", "speed", "course", "heading", "nav_status"]
     newest = ", ".join(f"arg_max_null({c}, recorded_at) AS {c}" for c in columns)
@@ -299,6 +325,9 @@ SELECT mmsi, {_round6('avg_speed')} AS avg_speed, {_round6('speed_std_dev')} AS
         "stream_zone_stats": _window(10),
         "stream_restart": _window(10),
         "stream_zone_stats_late": _window(10),
+        "stream_zone_windows": _window(10),
+        "stream_late_windows": _late_windows(),
+        "stream_zone_vessels": _zone_vessels(),
         "stream_latest": latest,
         "stream_track": f"""WITH {POSITIONS}
 SELECT {FLAT}, CAST(recorded_at AS DATE) AS date FROM positions WHERE mmsi IS NOT NULL""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +49,75 @@ def zone_stats(
     )
 
 
+#: log2 of the registers of a vessel sketch; its estimates are off by 1.04 / sqrt(registers).
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+WINDOW_KEY = ["zone", "window_start", "window_end"]
+
+
+def zone_sums(positions: DataFrame, window: str = ZONE_WINDOW) -> DataFrame:
+    """What ``zone_stats`` needs per zone and window, in a form that adds up (G1).
+
+    Sums and counts of speeds, messages, the newest event time, and a sketch of the vessels.
+    Sums of parts of the rows, or of shorter windows, unite to those of all.
+    """
+    located = with_zone(positions.filter(F.col("mmsi").isNotNull())).filter(
+        F.col("zone") != NO_COORDINATE
+    )
+    return (
+        located.groupBy("zone", F.window("recorded_at", window).alias("w"))
+        .agg(
+            F.coalesce(F.sum("speed"), F.lit(0.0)).alias("speed_sum"),
+            F.count("speed").alias("speed_count"),
+            F.count("mmsi").alias("messages"),
+            F.max("recorded_at").alias("newest"),
+            F.hll_sketch_agg("mmsi", SKETCH_BITS).alias("vessels"),
+        )
+        .select(
+            "zone",
+            F.col("w.start").alias("window_start"),
+            F.col("w.end").alias("window_end"),
+            "speed_sum",
+            "speed_count",
+            "messages",
+            "newest",
+            "vessels",
+        )
+    )
+
+
+def united(extra: Sequence[str] = ()) -> list[Column]:
+    """Aggregates that unite rows of ``zone_sums``; ``extra`` are more counts to add up."""
+    added = ["speed_sum", "speed_count", "messages", *extra]
+    return [
+        *[F.sum(name).alias(name) for name in added],
+        F.max("newest").alias("newest"),
+        F.hll_union_agg("vessels").alias("vessels"),
+    ]
+
+
+def longer_windows(sums: DataFrame, window: str) -> DataFrame:
+    """Sums of windows of which the stored ones are parts: seconds add up to hours."""
+    longer = sums.withColumn("w", F.window("window_start", window)).withColumns(
+        {"window_start": F.col("w.start"), "window_end": F.col("w.end")}
+    )
+    return longer.groupBy(*WINDOW_KEY).agg(*united())
+
+
+def stats_of_sums(sums: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The columns of ``zone_stats``, with ``approx_vessels`` and ``extra``, of united sums."""
+    speed = F.when(F.col("speed_count") > 0, F.col("speed_sum") / F.col("speed_count")).otherwise(0.0)
+    return sums.select(
+        *WINDOW_KEY,
+        speed.alias("avg_speed"),
+        F.col("messages").alias("vessel_count"),
+        F.hll_sketch_estimate("vessels").alias("approx_vessels"),
+        *extra,
+        F.col("window_end").alias("timestamp"),
+    )
+
+
 def sightings(positions: DataFrame, target_date: date | str | None = None) -> DataFrame:
     """Cleaned, located positions as rows to add up, zone ``unknown`` left out."""
     cleaned = with_date(clean_positions(positions, target_date, require_speed=True))

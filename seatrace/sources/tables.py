@@ -101,6 +101,29 @@ def read_log(
     return None if log is None else newest_per_key(log, keys, version).drop(*STAMPS)
 
 
+def closed_batches(spark: SparkSession, path: str) -> list[str]:
+    """Folders of a log's batches but the last one of each query, which may be replayed."""
+    closed: list[str] = []
+    for query in folders(spark, f"{path}/batches/query_id=*"):
+        batches = folders(spark, f"{query}/batch_id=*")
+        batches.sort(key=lambda folder: int(re.search(r"batch_id=(\d+)", folder)[1]))
+        closed += batches[:-1]
+    return closed
+
+
+def read_batches(spark: SparkSession, path: str, some: Sequence[str]) -> DataFrame | None:
+    """Rows of these folders below a log's batches; None if all of them are empty."""
+    try:
+        rows = spark.read.option("basePath", f"{path}/batches").parquet(*some)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+    return rows.withColumns(
+        {"query_id": F.col("query_id").cast("string"), "batch_id": F.col("batch_id").cast("bigint")}
+    )
+
+
 def fold_log(
     spark: SparkSession,
     path: str,
@@ -115,23 +138,11 @@ def fold_log(
     folded and in their batch are one version, so reading resolves them. ``partition_by``
     must not change for a key.
     """
-    closed: list[str] = []
-    for query in folders(spark, f"{path}/batches/query_id=*"):
-        batches = folders(spark, f"{query}/batch_id=*")
-        batches.sort(key=lambda folder: int(re.search(r"batch_id=(\d+)", folder)[1]))
-        closed += batches[:-1]
+    closed = closed_batches(spark, path)
     if not closed:
         return 0
-    try:
-        rows = spark.read.option("basePath", f"{path}/batches").parquet(*closed)
-    except AnalysisException as error:  # all of them are empty
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        rows = None
+    rows = read_batches(spark, path, closed)
     if rows is not None:
-        rows = rows.withColumns(
-            {"query_id": F.col("query_id").cast("string"), "batch_id": F.col("batch_id").cast("bigint")}
-        )
         upsert(
             newest_per_key(rows, keys, version), f"{path}/folded", keys, partition_by, sort_by, version
         )

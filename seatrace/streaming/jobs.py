@@ -44,7 +44,7 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def _start(
+def start_batches(
     stream: DataFrame,
     sink: Callable[[DataFrame, int, str], None],
     logs: list[str],
@@ -52,6 +52,10 @@ def _start(
     trigger: dict | None,
     mode: str = "append",
 ) -> StreamingQuery:
+    """A query whose micro-batches go to ``sink`` with their number and the query's id.
+
+    A batch without rows removes what an earlier try may have left in ``logs``.
+    """
     known: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -92,7 +96,7 @@ def start_live_positions(
         )
         write_batch(newest, latest_log, batch_id, ["hour"], query_id)
 
-    return _start(positions, sink, [track_log, latest_log], checkpoint, trigger)
+    return start_batches(positions, sink, [track_log, latest_log], checkpoint, trigger)
 
 
 def read_latest(spark: SparkSession, latest_log: str) -> DataFrame | None:
@@ -143,7 +147,7 @@ def start_zone_stats(
         dated = batch.withColumn("date", F.to_date("window_start"))
         write_batch(dated, log, batch_id, ["date"], query_id)
 
-    return _start(stats, sink, [log], checkpoint, trigger, mode="update")
+    return start_batches(stats, sink, [log], checkpoint, trigger, mode="update")
 
 
 def read_zone_stats(spark: SparkSession, log: str) -> DataFrame | None:
@@ -196,7 +200,7 @@ def start_alerts(
         finally:
             found.unpersist()
 
-    return _start(positions, sink, [log], checkpoint, trigger)
+    return start_batches(positions, sink, [log], checkpoint, trigger)
 
 
 def _oldest(batch: DataFrame, quiet_seconds: int):
