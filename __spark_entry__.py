@@ -158,6 +158,15 @@ def _upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table)
 
 
+def _zone_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and weeks from stored hours; the hours came in two halves that share a week."""
+    positions, tables = with_date(load_positions(spark, sf_dir)), _fresh(spark, "tables")
+    half = F.lit("2024-01-17").cast("date")
+    for part in (F.col("date") < half, F.col("date") >= half):
+        jobs.run_job(spark, "zone_rollup", positions.filter(part), tables)
+    return read_table(spark, f"{tables}/zone_rollup").drop("updated_at")
+
+
 def _job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run log after all daily jobs over every date."""
     tables = _fresh(spark, "tables")
@@ -380,6 +389,8 @@ def position_queries() -> dict[str, Query]:
         "route_segments_max_jump": _on_positions(
             lambda p: route_segments(p, max_segment_km=500.0)
         ),
+        "route_segments_ranged": _on_positions(lambda p: route_segments(p, slice_seconds=None)),
+        "zone_traffic_rollup": _zone_rollup,
         "vessel_profiles": _on_positions(
             lambda p: _rounded_profiles(vessel_profiles(p))
         ),

@@ -216,6 +216,22 @@ SELECT zone, window_start, count(*) AS vessel_count, coalesce(avg(speed), 0) AS
 FROM located WHERE zone <> 'unknown' GROUP BY zone, window_start"""
 
 
+def _rollup() -> str:
+    """Days and weeks counted from the positions themselves."""
+    layers = "\nUNION ALL\n".join(
+        f"""SELECT t.zone, '{period}' AS period, CAST(t.start AS DATE) AS period_start, t.vessel_count,
+  {_round('t.avg_raw', 2)} AS avg_speed, {_round('t.max_raw', 2)} AS max_speed, t.message_count,
+  h.hour AS peak_hour, h.n AS peak_count
+FROM (SELECT zone, date_trunc('{period}', date) AS start, {MEASURES} FROM located WHERE zone <> 'unknown' GROUP BY ALL) t
+JOIN (SELECT zone, start, hour, n, row_number() OVER (PARTITION BY zone, start ORDER BY n DESC, hour) AS place
+      FROM (SELECT zone, date_trunc('{period}', date) AS start, CAST(hour AS TIMESTAMP) AS hour, count(DISTINCT mmsi) AS n
+            FROM located WHERE zone <> 'unknown' GROUP BY ALL)) h
+  ON h.zone = t.zone AND h.start = t.start AND h.place = 1"""
+        for period in ("day", "week")
+    )
+    return f"WITH {POSITIONS}, {CLEAN}, {LOCATED}\n{layers}"
+
+
 def _latest(source: str = "positions") -> str:
     columns = ["ship_name", "latitude", "longitude", "speed", "course", "heading", "nav_status"]
     newest = ", ".join(f"arg_max_null({c}, recorded_at) AS {c}" for c in columns)
@@ -280,6 +296,8 @@ SELECT {FLAT} FROM messages WHERE mmsi IS NOT NULL AND message_type = 'PositionR
         "heatmap_tiles_p6": f"{tiles6} SELECT * FROM tiles6",
         "heatmap_pyramid": f"{tiles5}, {_tiles(6)} SELECT * FROM tiles5 UNION ALL SELECT * FROM tiles6",
         "route_segments": f"{routes} SELECT * FROM routes",
+        "route_segments_ranged": f"{routes} SELECT * FROM routes",
+        "zone_traffic_rollup": _rollup(),
         "route_segments_max_jump": f"WITH {POSITIONS}, {_routes(f'AND {DISTANCE} <= 500')} SELECT * FROM routes",
         "vessel_profiles": f"""WITH {POSITIONS}, {PROFILES}
 SELECT mmsi, {_round6('avg_speed')} AS avg_speed, {_round6('speed_std_dev')} AS speed_std_dev FROM profiles""",
@@ -364,6 +382,12 @@ def _job_runs() -> str:
             "cleaned WHERE speed IS NOT NULL",
             "(SELECT count(*) FROM hourly) + (SELECT count(*) FROM daily)",
         ),
+        "zone_rollup": (
+            "cleaned WHERE speed IS NOT NULL",
+            "(SELECT count(DISTINCT (zone, hour, (mmsi - 1) // 32768)) FROM located WHERE zone <> 'unknown') + "
+            "(SELECT count(*) FROM daily) + "
+            "(SELECT count(DISTINCT (zone, date_trunc('week', date))) FROM located WHERE zone <> 'unknown')",
+        ),
     }
     routes = _routes().split(",\nsteps AS", 1)[1].replace("counted AS", "moved AS").replace("FROM counted ", "FROM moved ")
     rows = "\nUNION ALL\n".join(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Sequence
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,6 +18,7 @@ from seatrace import schema
 from seatrace.operators.clean import RETENTION_DAYS, clean_positions, on_date, with_date
 from seatrace.plans.heatmap import heatmap_pyramid
 from seatrace.plans.profiles import merged_profiles, speed_moments
+from seatrace.plans.rollup import zone_hours, zone_rollup
 from seatrace.plans.routes import route_segments
 from seatrace.plans.traffic import daily_traffic, hourly_traffic, sightings, vessel_hours
 from seatrace.session import build_session
@@ -40,6 +41,8 @@ class Output(NamedTuple):
 ROUTES = Output("route_segments", ["window_date"], ["cell_from", "cell_to"])
 HOURLY = Output("zone_traffic_hourly", ["date"], ["zone", "hour"])
 DAILY = Output("zone_traffic_daily", ["date"], ["zone"])
+HOURS = Output("zone_hours", ["date"], ["zone", "hour", "bucket"])
+ROLLUP = Output("zone_rollup", ["period", "period_start"], ["zone"])
 TILES = Output("heatmap_tiles", ["precision", "date"], ["lat", "lon"])
 MOMENTS = Output("speed_moments", ["date"], ["mmsi"])
 PROFILES = Output("vessel_profiles", ["part"], ["mmsi"])
@@ -67,6 +70,21 @@ def _traffic(positions: DataFrame, target: date | None, counted: Counted, tables
         hours.unpersist()
 
 
+def _rollup(positions: DataFrame, target: date | None, counted: Counted, tables: str):
+    """Hours of the day with their vessels as bitmaps, then the periods that the day is part
+    of, from stored hours alone: positions of other days are not read again."""
+    rows = clean_positions(
+        with_date(positions), target, require_speed=True, select_columns=POSITION_COLUMNS
+    )
+    yield HOURS, zone_hours(sightings(counted(rows)))
+    stored = read_table(positions.sparkSession, f"{tables}/{HOURS.table}")
+    if stored is not None:
+        if target is not None:
+            monday = target - timedelta(days=target.weekday())
+            stored = stored.filter(F.col("date").between(monday, monday + timedelta(days=6)))
+        yield ROLLUP, zone_rollup(stored)
+
+
 def _heatmap(positions: DataFrame, target: date | None, counted: Counted, tables: str):
     rows = clean_positions(
         with_date(positions),
@@ -90,6 +108,7 @@ def _profiles(positions: DataFrame, target: date | None, counted: Counted, table
 JOBS: dict[str, Callable] = {
     "routes": _routes,
     "zone_traffic": _traffic,
+    "zone_rollup": _rollup,
     "heatmap": _heatmap,
     "vessel_profiles": _profiles,
 }

@@ -12,6 +12,7 @@ from seatrace.functions.geo import haversine_km
 from seatrace.functions.numbers import round_exact
 from seatrace.operators.clean import clean_positions, with_date
 from seatrace.operators.previous import SLICE_SECONDS, with_previous
+from seatrace.operators.ranged import with_previous_ranged
 
 ROUTE_PRECISION = 5
 MIN_CROSSINGS = 2
@@ -22,11 +23,13 @@ def cell_moves(
     target_date: date | str | None = None,
     precision: int = ROUTE_PRECISION,
     max_segment_km: float | None = None,
-    slice_seconds: int = SLICE_SECONDS,
+    slice_seconds: int | None = SLICE_SECONDS,
 ) -> DataFrame:
     """Each change of cell by a vessel within a day.
 
-    ``max_segment_km`` also drops jumps longer than that (W2, W5).
+    ``max_segment_km`` also drops jumps longer than that (W2, W5). Without ``slice_seconds``
+    rows are dealt out by ranges of vessel and time instead of by vessel and slice, for
+    tables in which one vessel's minutes hold a large share of the rows.
     """
     cleaned = with_date(clean_positions(positions, target_date, enforce_global_bounds=True))
     cell = cell_id(F.col("latitude"), F.col("longitude"), precision).alias("cell_id")
@@ -39,15 +42,11 @@ def cell_moves(
         )
         moved = moved & (jump <= max_segment_km)
     # rows of one instant that agree in all carried columns and speed are interchangeable
-    moves = with_previous(
-        cells,
-        ["mmsi", "date"],
-        "recorded_at",
-        carried,
-        tie_breakers=[*carried, "speed"],
-        where=moved,
-        slice_seconds=slice_seconds,
-    )
+    keys, ties = ["mmsi", "date"], [*carried, "speed"]
+    if slice_seconds is None:
+        moves = with_previous_ranged(cells, keys, "recorded_at", carried, ties, moved)
+    else:
+        moves = with_previous(cells, keys, "recorded_at", carried, ties, moved, slice_seconds)
     return moves.select(
         "date", F.col("prev_cell_id").alias("from_id"), F.col("cell_id").alias("to_id"), "speed"
     )
@@ -58,7 +57,7 @@ def route_segments(
     target_date: date | str | None = None,
     precision: int = ROUTE_PRECISION,
     max_segment_km: float | None = None,
-    slice_seconds: int = SLICE_SECONDS,
+    slice_seconds: int | None = SLICE_SECONDS,
 ) -> DataFrame:
     """Moves counted per (cell_from, cell_to, window_date), one-off crossings dropped."""
     counted = (

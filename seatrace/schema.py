@@ -29,6 +29,8 @@ KEYS = {
     "route_segments": ["cell_from", "cell_to", "window_date"],
     "zone_traffic_hourly": ["zone", "hour"],
     "zone_traffic_daily": ["zone", "date"],
+    "zone_hours": ["zone", "hour", "bucket"],
+    "zone_rollup": ["zone", "period", "period_start"],
     "heatmap_tiles": ["precision", "cell", "date"],
     "speed_moments": ["mmsi", "date"],
     "vessel_profiles": ["mmsi"],
