@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatrace.llm.arrays import BASE, Hasher, Powers, mixed
-from seatrace.llm.common import ships_by_value, text_slices
+from seatrace.llm.common import ships_by_value, small_batches, text_slices
 
 #: A run is at least this long, and at least this many times its period.
 SHORTEST = 6
@@ -334,6 +334,7 @@ def periodic_runs(docs: DataFrame, plant: bool = False) -> DataFrame:
     judged on their own; a null doc_id stays null and gets nothing planted. A document must
     fit a task's memory some twenty-fold.
     """
+    small_batches(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
     ).mapInArrow(

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seatrace.llm.bpe import shared_ranks, text_blocks
-from seatrace.llm.common import checkpointed, ships_by_value
+from seatrace.llm.common import checkpointed, ships_by_value, small_batches
 from seatrace.session import work_dir
 
 #: Tokens of a block, and blocks whose running sums are taken together.
@@ -44,7 +44,9 @@ def _files(
                 held.append(np.array([*ids, separator], "<u2"))
                 tokens += len(held[-1])
             if part.num_rows:
-                yield row("documents", documents, part.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+                known = part.column(0)
+                pairs = np.stack([known.fill_null(0).to_numpy(), known.is_valid().to_numpy(zero_copy_only=False)], axis=1)
+                yield row("documents", documents, pairs.astype("<i8").tobytes())
                 documents += part.num_rows
             while tokens >= BLOCK_TOKENS:
                 flat = np.concatenate(held)
@@ -60,12 +62,12 @@ def write_token_files(
     """Encode ``docs`` into flat token files, one per task, cut into blocks at ``path``.
 
     ``separator`` must not be an id of the vocabulary and must fit 16 bits. A null or empty
-    text is a separator alone. Rows with a null doc_id are not written.
+    text is a separator alone. A null doc_id is written as such.
     """
     ranks = shared_ranks(docs.sparkSession, ranks_path)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows.mapInArrow(
-        lambda batches: _files(batches, ranks.value, pattern, separator),
+        lambda batches: _files(batches, ranks.value.ranks, pattern, separator),
         "kind string, file long, number long, data binary",
     ).write.option("compression", "zstd").partitionBy("kind").parquet(path)
 
@@ -90,12 +92,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for file, number, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            ids = np.frombuffer(data, "<i8")
+            ids, known = np.frombuffer(data, "<i8").reshape(-1, 2).T
             yield pa.RecordBatch.from_pydict(
                 {
                     "file": pa.array(np.full(len(ids), file)),
                     "ordinal": pa.array(np.arange(number, number + len(ids))),
-                    "doc_id": pa.array(ids),
+                    "doc_id": pa.array(ids, mask=known == 0),
                 }
             )
 
@@ -192,8 +194,13 @@ def count_tokens(blocks: DataFrame, separator: int) -> DataFrame:
 
 
 def document_tokens(docs: DataFrame, ranks_path: str, pattern: str, separator: int) -> DataFrame:
-    """doc_id and n_tokens of every row of ``docs``, counted in token files written for it."""
+    """doc_id and n_tokens of every row of ``docs``, counted in token files written for it.
+
+    A null doc_id stays null; null and empty texts have no tokens; rows that repeat a doc_id
+    are counted each.
+    """
     spark = docs.sparkSession
+    small_batches(spark)
     path = f"{work_dir(spark)}/token-files-{uuid.uuid4().hex}"
     write_token_files(docs, path, ranks_path, pattern, separator)
     counts = count_tokens(read_blocks(spark, path), separator)
