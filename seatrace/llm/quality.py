@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatrace.llm.arrays import Powers, mixed, word_hashes
-from seatrace.llm.common import ships_by_value
+from seatrace.llm.common import quoted, ships_by_value, small_batches, text_slices
 
-#: Labelled documents that a fit uses at most, those with the smallest hash of doc_id. The
-#: model has a few dozen weights, so more documents would not change it much.
+#: Labelled documents that a fit uses at most, those with the smallest hash of doc_id, and
+#: lines of each: a document of more lines is learned from as many, evenly spread, with the
+#: lines around them. The model has a few dozen weights; more would not change it much.
 FIT_DOCUMENTS = 3000
+FIT_LINES = 2000
 ROUNDS = 150
 LEARNING_RATE = 0.1
 #: Weights have a normal prior of this precision, which counts less the more documents there are.
@@ -236,14 +238,18 @@ def score_texts(texts: list[bytes], model: Model | None, powers: Powers) -> np.n
     return np.clip(out, 0.0, 1.0)
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    texts = [(t.as_py() or "").encode("utf-8", "replace") for t in batch.column("text")]
-    begin, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= TEXT_BLOCK or i == len(texts) - 1:
-            yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
-            begin, size = i + 1, 0
+def _blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of a batch with about TEXT_BLOCK bytes each, and their texts."""
+    for begin, stop in text_slices(batch.column(column), TEXT_BLOCK):
+        part = batch.slice(begin, stop - begin)
+        yield part, [text or b"" for text in part.column(column).cast(pa.binary()).to_pylist()]
+
+
+def _thinned(lines: np.ndarray) -> np.ndarray:
+    """At most FIT_LINES lines of a document, evenly spread."""
+    if len(lines) <= FIT_LINES:
+        return lines
+    return lines[np.arange(FIT_LINES) * len(lines) // FIT_LINES]
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +257,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in _blocks(batch):
             features, _, n_lines = line_features(texts, powers)
-            rows = np.split(features.astype("<f4"), np.cumsum(n_lines)[:-1])
+            rows = [_thinned(x) for x in np.split(features.astype("<f4"), np.cumsum(n_lines)[:-1])]
             yield pa.RecordBatch.from_arrays(
                 [part.column("quality"), pa.array([r.tobytes() for r in rows], pa.binary())],
                 names=["quality", "features"],
@@ -268,17 +274,28 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[
             )
 
 
+def _kept(batches: Iterator[pa.RecordBatch], model: Model | None, column: str) -> Iterator[pa.RecordBatch]:
+    powers = Powers()
+    for batch in batches:
+        for part, texts in _blocks(batch, column):
+            yield part.filter(pa.array(score_texts(texts, model, powers) >= 0.5))
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from learning: crc32 of its id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def fit(docs: DataFrame, labels: DataFrame, documents: int = FIT_DOCUMENTS) -> Model | None:
-    """A model from at most ``documents`` labelled rows that are not held out.
+    """A model from at most ``documents`` labelled documents that are not held out.
 
-    Ids labelled both good and bad, and null ids or labels, are left out. None if no label is
-    left or only one kind.
+    Ids labelled both good and bad, null ids or labels, and labels without a document are left
+    out; a labelled id that several rows have counts once, with the smallest text. At most
+    ``documents`` times FIT_LINES lines reach the driver. None if no label is left or only one
+    kind.
     """
+    small_batches(docs.sparkSession)
+    ids = docs.select(F.col("doc_id").cast("long").alias("_doc"))
     usable = (
         labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality"))
         .dropna()
@@ -286,6 +303,7 @@ def fit(docs: DataFrame, labels: DataFrame, documents: int = FIT_DOCUMENTS) -> M
         .groupBy("_id")
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("_most"))
         .filter("quality = _most")
+        .join(ids, F.col("_doc") == F.col("_id"), "left_semi")
         .orderBy(F.xxhash64("_id"))
         .limit(documents)
         .select("_id", "quality")
@@ -293,6 +311,8 @@ def fit(docs: DataFrame, labels: DataFrame, documents: int = FIT_DOCUMENTS) -> M
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
         .join(F.broadcast(usable), F.col("_doc") == F.col("_id"))
+        .groupBy("_id", "quality")
+        .agg(F.min("text").alias("text"))
         .select("quality", "text")
         .mapInArrow(_featured, "quality int, features binary")
         .collect()
@@ -312,6 +332,7 @@ def fit(docs: DataFrame, labels: DataFrame, documents: int = FIT_DOCUMENTS) -> M
 def with_score(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id and score of every row of ``docs``; null and empty texts are one empty line."""
     # the model travels with the task: a few hundred numbers, whatever the data
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         lambda batches: _scored(batches, model), "doc_id long, score double"
     )
@@ -328,12 +349,17 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that are predicted good, with their columns as they are."""
+    """Rows of ``docs`` that are predicted good, with their columns as they are.
+
+    Each row is judged on its own, so rows that repeat a doc_id or a text all stay or each
+    goes by its text; null and empty texts are one empty line.
+    """
     model = fit(docs, labels)
-    columns = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), F.col("text").alias("text"))
-    schema = columns.drop("text").schema.add("score", "double")
-    scored = columns.mapInArrow(lambda batches: _scored(batches, model), schema)
-    return scored.filter("score >= 0.5").select("_doc.*")
+    text = f"c{docs.columns.index('text')}"
+    # each text goes to Python once, and comes back only if it stays
+    numbered = docs.select(*[docs[quoted(c)].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    kept = numbered.mapInArrow(lambda batches: _kept(batches, model, text), numbered.schema)
+    return kept.toDF(*docs.columns)
 
 
 ships_by_value(__name__)

@@ -69,3 +69,27 @@ def test_no_labels_and_no_documents(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in quality.quality_report(documents(spark), none).collect()} == {0.5}
     assert quality.quality_report(documents(spark, []), none).count() == 0
+
+
+def test_a_repeated_labelled_id_and_labels_without_document(spark, monkeypatch):
+    """The bounds hold for rows and lines, and labels of absent documents use up nothing."""
+    monkeypatch.setattr(quality, "FIT_LINES", 5)
+    seen = []
+    fit_lines = quality.fit_lines
+    monkeypatch.setattr(quality, "fit_lines", lambda *a: seen.append(a) or fit_lines(*a))
+    texts = {i: ("fine words here.\n" * 20 if i % 2 else "#### $$$ ||| !!!\n" * 20) for i in range(60)}
+    rows = [(i, t) for i, t in texts.items()] + [(1, "fine words here.\n" * 20)] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(-2000, 60)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, documents=30)
+    features, n_lines, good = seen[0]
+    assert len(n_lines) == 30 and n_lines.max() == 5 and len(features) == n_lines.sum()
+    assert 0 < good.sum() < 30 and model is not None
+
+
+def test_keep_good_passes_columns_through(spark):
+    docs = spark.createDataFrame([(1, "fine words here.", 2, 3, 4)], "doc_id long, text string, score int, c1 int, `a.b` int")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "fine words here.", 2, 3, 4)]
+    assert quality.keep_good(docs.filter("false"), labels).collect() == []
