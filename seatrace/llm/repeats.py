@@ -619,7 +619,8 @@ def without_repeats(
     rest = F.struct(*carry) if carry else F.lit(0)
     doc_id = F.col("doc_id").cast("long")
     texts = docs.select(
-        F.pmod(F.xxhash64(doc_id), F.lit(parts)).alias("chunk"),
+        # by row: neither a null nor a repeated doc_id gathers in one chunk
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).alias("chunk"),
         doc_id.alias("doc_id"),
         rest.alias("_rest"),
         text.alias("text"),

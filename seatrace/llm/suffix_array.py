@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatrace.llm.common import ships_by_value
+from seatrace.llm.common import quoted, ships_by_value
 from seatrace.llm.repeats import without_repeats
 
 WINDOW = 50
@@ -103,15 +103,18 @@ def drop_repeated_text(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the repeated strings of their texts.
 
     A character goes if any of its bytes does, so texts stay valid. A null text stays null,
-    and a text that is repeated as a whole becomes empty.
+    and a text that is repeated as a whole becomes empty. Rows that repeat a doc_id remove
+    nothing from each other; rows with a null doc_id stay as they are. Columns of any name
+    pass through.
     """
-    rest = [F.col("text").isNull().alias("_null"), *[docs[c] for c in docs.columns if c != "text"]]
+    others = [F.lit(0) if c == "text" else docs[quoted(c)] for c in docs.columns]
+    rest = [F.col("text").isNull().alias("null"), *[x.alias(f"c{i}") for i, x in enumerate(others)]]
     found = without_repeats(
         docs, False, window, min(GRAM, window), windows_in_smaller, rest, whole_characters=True
     )
-    text = F.when(~F.col("_rest._null"), F.col("kept").cast("string"))
+    text = F.when(~F.col("_rest.null"), F.col("kept").cast("string"))
     return found.select(
-        *[text.alias(c) if c == "text" else F.col("_rest")[c].alias(c) for c in docs.columns]
+        *[text.alias(c) if c == "text" else F.col(f"_rest.c{i}").alias(c) for i, c in enumerate(docs.columns)]
     )
 
 

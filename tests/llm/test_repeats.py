@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from seatrace.llm import automaton, repeats, suffix_array
 from tests.llm.fixtures import collected, documents, texts
@@ -120,3 +121,25 @@ def test_automaton_matching_statistics():
             for i in range(len(asked))
         ]
         assert machine.matches(list(asked)) == want
+
+
+def test_columns_of_any_name_and_rows_without_id(spark):
+    text = "a text that is long enough to come twice in the table, word by word. " * 3
+    rows = [(1, text, 1, 2), (2, text, 3, 4), (None, text, 5, 6), (None, text, 5, 6), (3, None, 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _null int, `a.b` int")
+    kept = suffix_array.drop_repeated_text(docs)
+    assert kept.columns == docs.columns
+    expected = [(1, text, 1, 2), (2, "", 3, 4), (None, text, 5, 6), (None, text, 5, 6), (3, None, 7, 8)]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_repeated_and_missing_ids_spread_over_chunks(spark):
+    """A third of the rows with one id, a third with none: no chunk takes them all."""
+    rows = [(i if i % 3 == 0 else (7 if i % 3 == 1 else None), f"text {i} " * 20) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which would put small tasks together
+    try:
+        tasks = suffix_array.dedup_bytes(docs).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in tasks) == 600 and max(r["count"] for r in tasks) < 300
