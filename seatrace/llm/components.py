@@ -1,11 +1,12 @@
-"""Connected components of an undirected graph whose nodes are longs."""
+"""Connected components of an undirected graph whose nodes are longs, or of one in a task."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatrace.llm.common import checkpointed
+from seatrace.llm.common import checkpointed, ships_by_value
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,3 +36,37 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "root")
         if moved.filter("root != before").isEmpty():
             return labels
+
+
+class Groups:
+    """Connected groups of numbered members, joined pair by pair."""
+
+    def __init__(self, members: int) -> None:
+        self.label = np.arange(members)
+
+    def join(self, u: np.ndarray, v: np.ndarray) -> None:
+        while True:
+            a, b = self.label[u], self.label[v]
+            apart = a != b
+            if not apart.any():
+                return
+            u, v = u[apart], v[apart]
+            parent = np.arange(len(self.label))
+            np.minimum.at(parent, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+            while (parent[parent] != parent).any():
+                parent = parent[parent]
+            self.label = parent[self.label]
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        """A binary tree over each group, so that no member has many edges."""
+        order = np.argsort(self.label, kind="stable")
+        label = self.label[order]
+        opens = np.flatnonzero(np.concatenate(([True], label[1:] != label[:-1])))
+        sizes = np.diff(np.append(opens, len(order)))
+        begin = np.repeat(opens, sizes)
+        rank = np.arange(len(order)) - begin
+        child = rank > 0
+        return order[child], order[(begin + (rank - 1) // 2)[child]]
+
+
+ships_by_value(__name__)

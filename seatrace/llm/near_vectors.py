@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatrace.llm.common import checkpointed, ships_by_value
-from seatrace.llm.components import components
+from seatrace.llm.components import Groups, components
 
 THRESHOLD = 0.9
 #: Bytes of codes in a tile, and the fewest rows worth a tile of their own.
@@ -142,37 +142,6 @@ def near_pairs(one: Side, two: Side, same: bool, threshold: float) -> Iterator[t
             yield i[may], j[may], (near - off >= threshold)[may]
 
 
-class Groups:
-    """Connected groups of numbered members, joined pair by pair."""
-
-    def __init__(self, members: int) -> None:
-        self.label = np.arange(members)
-
-    def join(self, u: np.ndarray, v: np.ndarray) -> None:
-        while True:
-            a, b = self.label[u], self.label[v]
-            apart = a != b
-            if not apart.any():
-                return
-            u, v = u[apart], v[apart]
-            parent = np.arange(len(self.label))
-            np.minimum.at(parent, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
-            while (parent[parent] != parent).any():
-                parent = parent[parent]
-            self.label = parent[self.label]
-
-    def edges(self) -> tuple[np.ndarray, np.ndarray]:
-        """A binary tree over each group, so that no member has many edges."""
-        order = np.argsort(self.label, kind="stable")
-        label = self.label[order]
-        opens = np.flatnonzero(np.concatenate(([True], label[1:] != label[:-1])))
-        sizes = np.diff(np.append(opens, len(order)))
-        begin = np.repeat(opens, sizes)
-        rank = np.arange(len(order)) - begin
-        child = rank > 0
-        return order[child], order[(begin + (rank - 1) // 2)[child]]
-
-
 def _found(key: dict, kind: str, node: np.ndarray, other=None, links=None) -> pa.Table:
     def filled(values) -> pa.Array:
         return pa.nulls(len(node), pa.int64()) if values is None else pa.array(values, pa.int64())

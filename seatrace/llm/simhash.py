@@ -111,21 +111,4 @@ def simhash_classes(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataF
     )
 
 
-def near_dedup(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its component.
-
-    Rows that repeat a kept doc_id all stay. Rows with a null doc_id stay too: nothing
-    tells them apart.
-    """
-    kept = (
-        simhash_classes(docs, radius, shingle)
-        .filter("doc_id = component_id")
-        .select(F.col("doc_id").alias("_kept"))
-        .distinct()
-    )
-    return docs.join(
-        kept, F.col("doc_id").cast("long") == F.col("_kept"), "left"
-    ).filter("_kept is not null or doc_id is null").select(*[docs[c] for c in docs.columns])
-
-
 ships_by_value(__name__)

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from seatrace.llm import near_vectors as near
+from seatrace.llm.components import Groups
 from tests.llm.fixtures import collected
 
 SCHEMA = (
@@ -118,7 +119,7 @@ def test_groups_join_as_brute_force():
     for _ in range(50):
         n = int(rng.integers(1, 60))
         u, v = rng.integers(0, n, (2, int(rng.integers(0, 60))))
-        groups = near.Groups(n)
+        groups = Groups(n)
         groups.join(u[::2], v[::2])
         groups.join(u[1::2], v[1::2])
         label = np.arange(n)
@@ -127,7 +128,7 @@ def test_groups_join_as_brute_force():
                 label[a] = label[b] = min(label[a], label[b])
         assert (groups.label == label).all()
         a, b = groups.edges()
-        again = near.Groups(n)
+        again = Groups(n)
         again.join(a, b)
         assert (again.label == label).all()
         assert len(a) == n - len(set(label.tolist()))

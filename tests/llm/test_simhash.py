@@ -64,18 +64,9 @@ def test_radius_must_be_even(spark):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 3)
 
 
-def test_near_dedup_keeps_columns_and_smallest(spark):
-    docs = documents(spark)
-    kept = simhash.near_dedup(docs)
-    assert kept.columns == docs.columns
-    classes = brute_classes(texts())
-    expected = sorted(str(d) for d, _, c in classes if d is None or d == c)
-    assert sorted(str(r.doc_id) for r in kept.collect()) == expected
-
-
 def test_empty(spark):
     docs = documents(spark, [])
-    assert simhash.simhash_classes(docs).count() == 0 and simhash.near_dedup(docs).count() == 0
+    assert simhash.simhash_classes(docs).count() == 0
 
 
 def test_components_of_a_long_path(spark):
