@@ -9,7 +9,7 @@ from __future__ import annotations
 import sys
 import uuid
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,7 @@ import oracles
 from fixtures import load_positions
 from seatrace import jobs, schema
 from seatrace.functions.cells import with_cell, with_cell_center
-from seatrace.functions.zones import SEA_ZONES
+from seatrace.functions.zones import SEA_ZONES, Zone
 from seatrace.operators.clean import clean_positions, expire_positions, with_date
 from seatrace.operators.latest import latest_positions, to_key_value, unexpired
 from seatrace.operators.messages import (
@@ -34,6 +34,7 @@ from seatrace.operators.messages import (
 from seatrace.operators.zone_join import with_zone, with_zone_table
 from seatrace.plans import reads
 from seatrace.plans.alerts import detect_alerts, emitted_alerts, speed_alerts, stopped_alerts
+from seatrace.plans.boxes import tiles_in_box_by_range, write_tiles
 from seatrace.plans.heatmap import heatmap_pyramid, heatmap_tiles
 from seatrace.plans.profiles import vessel_profiles
 from seatrace.plans.routes import route_segments
@@ -51,6 +52,7 @@ from seatrace.session import work_dir
 from seatrace.settings import DEFAULT_BOXES
 from seatrace.sources.streams import read_message_files
 from seatrace.sources.tables import (
+    read_log_rows,
     read_table,
     settle_positions,
     upsert,
@@ -58,6 +60,9 @@ from seatrace.sources.tables import (
 )
 from seatrace.streaming import jobs as streams
 from seatrace.streaming import windows
+from seatrace.streaming.alerts import start_alerts_state
+from seatrace.streaming.profiles import StoredProfiles
+from seatrace.streaming.run_log import StreamRunLog, counted, read_stream_runs
 
 try:  # the training-data operators are a part of their own
     import corpus_pipeline
@@ -192,11 +197,13 @@ class Feed:
     them in one micro-batch.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, positions: DataFrame | None = None) -> None:
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, positions: DataFrame | None = None, keep: Sequence[str] = ()
+    ) -> None:
         self.spark, self.folder = spark, _fresh(spark, "feed")
         rows = load_positions(spark, sf_dir) if positions is None else positions
-        keep = rows.withColumns({"day": F.dayofmonth("recorded_at"), "number": F.col("event_id")})
-        self.messages = to_messages(keep, None, ["day", "number"])
+        known = rows.withColumns({"day": F.dayofmonth("recorded_at"), "number": F.col("event_id")})
+        self.messages = to_messages(known, None, ["day", "number", *keep])
 
     def send(self, condition: str) -> None:
         self.messages.filter(condition).select("value").write.mode("append").text(self.folder)
@@ -287,6 +294,91 @@ def _stream_zone_vessels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stream_alerts_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quiet period is state of the stream; its log is only written."""
+    log, checkpoint, stored = _fresh(spark, "alerts"), _fresh(spark, "checkpoint"), _fresh(spark, "profiles")
+    vessel_profiles(load_positions(spark, sf_dir)).write.parquet(stored)
+    profiles = lambda: spark.read.parquet(stored)
+    Feed(spark, sf_dir).deliver(
+        SPANS, lambda rows: start_alerts_state(rows, profiles, log, checkpoint, ONCE, quiet_seconds=DAY)
+    )
+    return streams.read_alerts(spark, log)
+
+
+def _stream_latest_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All positions come twice, the second time from later files and faster: of equal times
+    the later file wins."""
+    track, latest, checkpoint = (_fresh(spark, name) for name in ("track", "latest", "checkpoint"))
+    rows = load_positions(spark, sf_dir).withColumn("copy", F.lit(0))
+    faster = rows.withColumns({"speed": F.col("speed") + 1, "copy": F.lit(1)})
+    feed = Feed(spark, sf_dir, rows.union(faster), ["copy"])
+    feed.deliver(
+        ["copy = 0", "copy = 1"],
+        lambda rows: streams.start_live_positions(rows, track, latest, checkpoint, ONCE),
+        arrival=True,
+    )
+    return streams.read_latest(spark, latest)
+
+
+def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which some are cut short, blank or without a vessel: each one ends in the
+    track or among the rejects. Rows: what became of it, and how many."""
+    names = ("track", "latest", "rejects", "checkpoint", "feed")
+    track, latest, rejects, checkpoint, folder = (_fresh(spark, name) for name in names)
+    rows = load_positions(spark, sf_dir)
+    messages = to_messages(rows, None, ["event_id"])
+    cut = F.expr("substr(value, 1, length(value) div 2)")
+    text = F.when(F.col("event_id") % 53 == 0, cut).when(F.col("event_id") % 59 == 0, " ").otherwise(F.col("value"))
+    messages.select(text.alias("value")).write.text(folder)
+    streams.start_live_messages(
+        read_message_files(spark, folder), track, latest, rejects, checkpoint, ONCE
+    ).awaitTermination()
+    kept = read_log_rows(spark, track).select(F.lit("position").alias("became"))
+    gone = streams.read_rejects(spark, rejects).select(F.col("reason").cast("string").alias("became"))
+    return kept.unionByName(gone).groupBy("became").agg(F.count("*").alias("messages"))
+
+
+def _stream_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each micro-batch of the zone windows took in, as a listener logged them."""
+    log, checkpoint, runs = (_fresh(spark, name) for name in ("zone-windows", "checkpoint", "runs"))
+    listener = StreamRunLog(spark, runs)
+    spark.streams.addListener(listener)
+
+    def start(rows: DataFrame) -> StreamingQuery:
+        query = windows.start_zone_windows(counted(rows), log, checkpoint, ONCE)
+        query.awaitTermination()
+        listener.wait(query.runId)
+        return query
+
+    try:
+        Feed(spark, sf_dir).deliver(SPANS, start)
+    finally:
+        spark.streams.removeListener(listener)
+    return read_stream_runs(spark, runs).select("batch_id", "rows_in", "state_rows")
+
+
+def _tiles_box_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The box of ``tiles_bbox``, read by cell ranges from tiles stored along the curve."""
+    table = _fresh(spark, "tiles")
+    write_tiles(heatmap_tiles(load_positions(spark, sf_dir), 6), table)
+    return tiles_in_box_by_range(spark.read.parquet(table), 36.0, 41.0, -6.0, 14.0, precisions=[6])
+
+
+#: Two boxes that cross the 180th meridian: all but the Mediterranean's middle, and less.
+WRAPPING = [
+    Zone(1, "far", 30.0, 38.0, 18.0, -2.0),
+    Zone(2, "wide", 30.0, 45.0, 9.0, 1.0),
+    Zone(3, "rest", 30.0, 45.0, 0.0, 20.0),
+]
+
+
+def _zone_lookup_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones over the 180th meridian, by the fixed and by the table form."""
+    points = load_positions(spark, sf_dir).select("event_id", "latitude", "longitude")
+    fixed = with_zone(points, WRAPPING).withColumnRenamed("zone", "fixed")
+    return with_zone_table(fixed, spark.createDataFrame(WRAPPING))
+
+
 def _stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     track, latest, checkpoint = (_fresh(spark, name) for name in ("track", "latest", "checkpoint"))
     Feed(spark, sf_dir).deliver(
@@ -307,7 +399,9 @@ def _stream_track(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, checkpoint = _fresh(spark, "alerts"), _fresh(spark, "checkpoint")
-    profiles = lambda: vessel_profiles(load_positions(spark, sf_dir))
+    profiles = StoredProfiles(
+        spark, _fresh(spark, "profiles"), lambda: vessel_profiles(load_positions(spark, sf_dir))
+    )
     Feed(spark, sf_dir).deliver(
         SPANS, lambda rows: streams.start_alerts(rows, profiles, log, checkpoint, ONCE, quiet_seconds=DAY)
     )
@@ -375,6 +469,7 @@ def position_queries() -> dict[str, Query]:
             lambda p: with_zone(p.select("event_id", "latitude", "longitude"))
         ),
         "zone_lookup_table": _zone_table,
+        "zone_lookup_wrapped": _zone_lookup_wrapped,
         "zone_window_stats": _on_positions(zone_stats),
         "zone_window_stats_1h": _on_positions(lambda p: zone_stats(p, "1 hour")),
         "zone_traffic_hourly": _on_positions(_hourly),
@@ -416,6 +511,7 @@ def position_queries() -> dict[str, Query]:
         "tiles_bbox": _on_positions(
             lambda p: reads.tiles_in_box(heatmap_tiles(p, 6), 36.0, 41.0, -6.0, 14.0)
         ),
+        "tiles_box_ranges": _tiles_box_ranges,
         "zone_hours": _on_positions(lambda p: reads.zone_hours(_hourly(p))),
         "busiest_zones": _on_positions(lambda p: reads.busiest_zones(_daily(p), 3)),
         "zone_trend": _on_positions(lambda p: reads.zone_trend(_daily(p))),
@@ -437,6 +533,10 @@ def position_queries() -> dict[str, Query]:
         "stream_zone_vessels": _stream_zone_vessels,
         "stream_latest": _stream_latest,
         "stream_track": _stream_track,
+        "stream_latest_ties": _stream_latest_ties,
+        "stream_rejects": _stream_rejects,
+        "stream_run_log": _stream_run_log,
+        "stream_alerts_state": lambda spark, sf_dir: _rounded_alerts(_stream_alerts_state(spark, sf_dir)),
         "stream_alerts": lambda spark, sf_dir: _rounded_alerts(_stream_alerts(spark, sf_dir)),
     }
 

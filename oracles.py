@@ -285,6 +285,14 @@ SELECT {FLAT} FROM messages WHERE mmsi IS NOT NULL AND message_type = 'PositionR
   AND latitude BETWEEN 30 AND 47 AND longitude BETWEEN -6 AND 37""",
         "zone_lookup": f"WITH {POSITIONS} SELECT event_id, latitude, longitude, {_zone()} AS zone FROM positions",
         "zone_lookup_table": f"WITH {POSITIONS} SELECT event_id, latitude, longitude, {_zone()} AS zone FROM positions",
+        "zone_lookup_wrapped": f"""WITH {POSITIONS},
+found AS (
+  SELECT event_id, latitude, longitude, CASE WHEN latitude IS NULL OR longitude IS NULL THEN 'unknown'
+    WHEN latitude BETWEEN 30 AND 38 AND (longitude BETWEEN 18 AND 180 OR longitude BETWEEN -180 AND -2) THEN 'far'
+    WHEN latitude BETWEEN 30 AND 45 AND (longitude BETWEEN 9 AND 180 OR longitude BETWEEN -180 AND 1) THEN 'wide'
+    WHEN latitude BETWEEN 30 AND 45 AND longitude BETWEEN 0 AND 20 THEN 'rest' ELSE 'other' END AS zone
+  FROM positions)
+SELECT *, zone AS fixed FROM found""",
         "zone_window_stats": _window(10),
         "zone_window_stats_1h": _window(3600),
         "zone_traffic_hourly": f"{traffic} SELECT * FROM hourly",
@@ -320,6 +328,8 @@ SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY window_date
   ORDER BY count DESC, cell_from, cell_to) AS INTEGER) AS place FROM routes) WHERE place <= 5""",
         "tiles_hottest": f"{tiles6} SELECT * FROM tiles6 ORDER BY date, precision, intensity DESC, cell",
         "tiles_bbox": f"""{tiles6}
+SELECT * FROM tiles6 WHERE lat BETWEEN 36 AND 41 AND lon BETWEEN -6 AND 14""",
+        "tiles_box_ranges": f"""{tiles6}
 SELECT * FROM tiles6 WHERE lat BETWEEN 36 AND 41 AND lon BETWEEN -6 AND 14""",
         "zone_hours": f"{traffic} SELECT * FROM hourly ORDER BY zone, hour",
         "busiest_zones": f"""{traffic}
@@ -349,6 +359,17 @@ SELECT mmsi, {_round6('avg_speed')} AS avg_speed, {_round6('speed_std_dev')} AS
         "stream_latest": latest,
         "stream_track": f"""WITH {POSITIONS}
 SELECT {FLAT}, CAST(recorded_at AS DATE) AS date FROM positions WHERE mmsi IS NOT NULL""",
+        "stream_latest_ties": f"""WITH {POSITIONS},
+later AS (SELECT * REPLACE (speed + 1 AS speed) FROM positions) {_latest('later')}""",
+        "stream_rejects": f"""WITH {POSITIONS}
+SELECT CASE WHEN event_id % 53 = 0 THEN 'not json' WHEN event_id % 59 = 0 THEN 'empty'
+    WHEN mmsi IS NULL THEN 'no vessel' ELSE 'position' END AS became, count(*) AS messages
+FROM positions GROUP BY became""",
+        "stream_run_log": f"""WITH {POSITIONS}
+SELECT CAST(least((day(recorded_at) - 1) // 5, 5) AS BIGINT) AS batch_id, count(*) AS rows_in,
+  CAST(0 AS BIGINT) AS state_rows
+FROM positions WHERE mmsi IS NOT NULL GROUP BY batch_id""",
+        "stream_alerts_state": _suppressed("24 HOUR"),
         "stream_alerts": _suppressed("24 HOUR"),
     }
 

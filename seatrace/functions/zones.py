@@ -32,8 +32,26 @@ OUTSIDE = "other"
 NO_COORDINATE = "unknown"
 
 
+def unwrapped(zones: Sequence[Zone]) -> list[Zone]:
+    """Boxes that cross the 180th meridian (lon_lo > lon_hi) as two, on either side of it.
+
+    Both parts keep the box's priority and name, so they count as one zone. A box whose
+    latitudes are the wrong way round is an error.
+    """
+    out = []
+    for zone in zones:
+        if zone.lat_lo > zone.lat_hi:
+            raise ValueError(f"zone {zone.zone}: lat_lo {zone.lat_lo} is above lat_hi {zone.lat_hi}")
+        if zone.lon_lo <= zone.lon_hi:
+            out.append(zone)
+        else:
+            out += [zone._replace(lon_hi=180.0), zone._replace(lon_lo=-180.0)]
+    return out
+
+
 def zone_of(lat: Column, lon: Column, zones: Sequence[Zone] = SEA_ZONES) -> Column:
-    """Name of the first box holding the point; bounds are inclusive on both ends.
+    """Name of the first box holding the point; bounds are inclusive on both ends, and a box
+    with lon_lo > lon_hi crosses the 180th meridian.
 
     Stays one codegen expression, so it costs no join and no worker hop.
     """
@@ -42,7 +60,7 @@ def zone_of(lat: Column, lon: Column, zones: Sequence[Zone] = SEA_ZONES) -> Colu
         lambda acc, z: acc.when(
             lat.between(z.lat_lo, z.lat_hi) & lon.between(z.lon_lo, z.lon_hi), z.zone
         ),
-        sorted(zones),
+        sorted(unwrapped(zones)),
         missing,
     )
     return chain.otherwise(OUTSIDE)

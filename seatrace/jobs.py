@@ -43,7 +43,8 @@ HOURLY = Output("zone_traffic_hourly", ["date"], ["zone", "hour"])
 DAILY = Output("zone_traffic_daily", ["date"], ["zone"])
 HOURS = Output("zone_hours", ["date"], ["zone", "hour", "bucket"])
 ROLLUP = Output("zone_rollup", ["period", "period_start"], ["zone"])
-TILES = Output("heatmap_tiles", ["precision", "date"], ["lat", "lon"])
+# the cell's text follows a Z curve, so a box is a few ranges of it (plans/boxes.py)
+TILES = Output("heatmap_tiles", ["precision", "date"], ["cell"])
 MOMENTS = Output("speed_moments", ["date"], ["mmsi"])
 PROFILES = Output("vessel_profiles", ["part"], ["mmsi"])
 

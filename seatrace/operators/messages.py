@@ -24,6 +24,36 @@ def parse_messages(raw: DataFrame) -> DataFrame:
     return raw.select(F.inline(F.array(message)), *others)
 
 
+#: Column in which the parser keeps the text of a message that is not JSON.
+CORRUPT = "__corrupt"
+
+
+def split_messages(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Flat positions, and the messages that make none: value, reason and other columns.
+
+    Reasons: ``empty`` (null or blank text), ``not json``, and ``no vessel`` (no vessel
+    number, or one of the wrong type). Each message is in exactly one of the two.
+    """
+    others = [F.col(name) for name in raw.columns if name != "value"]
+    text = F.col("value").cast("string")
+    message = F.from_json(
+        text, f"{schema.MESSAGE}, {CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    )
+    # finished before any filter, so that no message is parsed once per filter
+    parsed = raw.select(F.inline(F.array(F.struct(text.alias("value"), message.alias("m")))), *others)
+    parsed = parsed.select("value", "m.*", *[F.col(c) for c in raw.columns if c != "value"])
+    reason = (
+        F.when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty")
+        .when(F.col(CORRUPT).isNotNull() & F.col("MetaData").isNull() & F.col("Message").isNull(), "not json")
+        .when(F.col("MetaData.MMSI").isNull(), "no vessel")
+    )
+    judged = parsed.withColumn("reason", reason)
+    rejects = judged.filter(F.col("reason").isNotNull()).select(
+        "value", "reason", *[c for c in raw.columns if c != "value"]
+    )
+    return flatten_positions(judged.filter(F.col("reason").isNull())), rejects
+
+
 def filter_messages(
     parsed: DataFrame,
     boxes: Sequence[Sequence[Sequence[float]]] | None = None,

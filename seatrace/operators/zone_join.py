@@ -25,8 +25,10 @@ def with_zone_table(df: DataFrame, zones: DataFrame) -> DataFrame:
     On each grid the lookup is an equi-join with at most one match per point, and only the
     boxes of that cell are tried, so a degree full of small boxes is not searched as a
     whole. No row is multiplied. Grids without boxes drop out while the query runs. Missing
-    coordinates match no cell.
+    coordinates match no cell. A box with lon_lo > lon_hi crosses the 180th meridian; one
+    with lat_lo > lat_hi is an error.
     """
+    zones = _unwrapped(zones)
     side = F.greatest(F.col("lat_hi") - F.col("lat_lo"), F.col("lon_hi") - F.col("lon_lo"))
     lat, lon = F.col("latitude"), F.col("longitude")
     joined, hits = df, []
@@ -60,5 +62,17 @@ def with_zone_table(df: DataFrame, zones: DataFrame) -> DataFrame:
     return joined.withColumn("zone", zone).drop(*[f"__boxes{i}" for i in range(len(CELL_SIDES))])
 
 
+def _unwrapped(zones: DataFrame) -> DataFrame:
+    """Boxes that cross the 180th meridian as two of the same priority and name."""
+    lo, hi = F.col("lon_lo"), F.col("lon_hi")
+    message = F.concat(F.lit("zone "), F.col("zone"), F.lit(": lat_lo is above lat_hi"))
+    checked = F.when(F.col("lat_lo") > F.col("lat_hi"), F.raise_error(message).cast("double")).otherwise(F.col("lat_lo"))
+    parts = F.when(
+        lo > hi, F.array(F.struct(lo.alias("lo"), F.lit(180.0).alias("hi")), F.struct(F.lit(-180.0).alias("lo"), hi.alias("hi")))
+    ).otherwise(F.array(F.struct(lo.alias("lo"), hi.alias("hi"))))
+    cut = zones.withColumn("lat_lo", checked).withColumn("__lon", F.explode(parts))
+    return cut.withColumns({"lon_lo": F.col("__lon.lo"), "lon_hi": F.col("__lon.hi")}).drop("__lon")
+
+
 def _cells(low: str, high: str, cell: float):
     return F.sequence(F.floor(F.col(low) / F.lit(cell)), F.floor(F.col(high) / F.lit(cell)))

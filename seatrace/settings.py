@@ -14,14 +14,20 @@ DEFAULT_BOXES = [[[30.0, -6.0], [47.0, 37.0]]]
 DEFAULT_MESSAGE_TYPES = "PositionReport"
 
 
-def stream_settings(
-    default_starting_offsets: str = "latest", env: Mapping[str, str] = os.environ
-) -> dict[str, str]:
-    """Broker and starting offsets for a streaming job (A2)."""
-    return {
-        "broker": env.get("KAFKA_BROKER", DEFAULT_BROKER),
-        "starting_offsets": env.get("KAFKA_STARTING_OFFSETS", default_starting_offsets),
-    }
+def stream_settings(job: str, env: Mapping[str, str] = os.environ) -> dict[str, object]:
+    """Broker, starting offsets and what to do about lost data, for a streaming job (A2).
+
+    Positions are history: a new job begins with all that the broker still has, unless the
+    environment says otherwise, and goes on where the broker has dropped some. Zone
+    statistics and alerts are about now: they begin with what comes next.
+    """
+    settings: dict[str, object] = {"broker": env.get("KAFKA_BROKER", DEFAULT_BROKER)}
+    if job == "positions":
+        settings["starting_offsets"] = env.get("KAFKA_STARTING_OFFSETS", "earliest")
+        settings["fail_on_data_loss"] = False
+    else:
+        settings["starting_offsets"] = "latest"
+    return settings
 
 
 def batch_date(env: Mapping[str, str] = os.environ, now: datetime | None = None) -> date:

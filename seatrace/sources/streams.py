@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seatrace.settings import DEFAULT_TOPIC
 
@@ -37,10 +38,27 @@ def read_topic(spark: SparkSession, broker: str, **options) -> DataFrame:
 
 
 def read_message_files(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, arrival: bool = False
 ) -> DataFrame:
-    """The same messages from a folder of text files, one JSON document per line."""
+    """The same messages from a folder of text files, one JSON document per line.
+
+    With ``arrival``, a message has what the broker would add, from its file: the time of the
+    file's last change as ``timestamp``, and that time, the file's name and the place of the
+    block in it as ``offset``, the order of arrival. A later file thus arrives later.
+    """
     reader = spark.readStream.schema("value string").format("text")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    messages = reader.load(path)
+    if not arrival:
+        return messages
+    changed = F.col("_metadata.file_modification_time")
+    return messages.select(
+        "value",
+        changed.alias("timestamp"),
+        F.struct(
+            changed.alias("changed"),
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("start"),
+        ).alias("offset"),
+    )

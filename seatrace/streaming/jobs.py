@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from seatrace import schema
 from seatrace.operators.clean import with_date
+from seatrace.operators.messages import split_messages
 from seatrace.operators.latest import LATEST_TTL_SECONDS, latest_positions, newest_per_key, unexpired
 from seatrace.operators.suppress import QUIET_SECONDS, suppress_after
 from seatrace.plans.alerts import detect_alerts
@@ -31,6 +32,7 @@ from seatrace.sources.tables import (
     read_log_rows,
     write_batch,
 )
+from seatrace.streaming.profiles import StoredProfiles
 
 # Fixed value: how often the streaming jobs start a micro-batch.
 TRIGGER = {"processingTime": "10 seconds"}
@@ -87,18 +89,44 @@ def start_live_positions(
     """Trajectory history and latest position per vessel from one reading."""
 
     def sink(batch: DataFrame, batch_id: int, query_id: str) -> None:
-        write_batch(with_date(batch).drop("arrival"), track_log, batch_id, ["date"], query_id)
-        newest = latest_positions(batch).withColumns(
-            {
-                "hour": F.date_format("updated_at", "yyyy-MM-dd-HH"),
-                "part": F.pmod("mmsi", F.lit(LATEST_PARTS)),
-            }
-        )
-        write_batch(newest, latest_log, batch_id, ["hour"], query_id)
+        _write_live(batch, track_log, latest_log, batch_id, query_id)
 
     return start_batches(positions, sink, [track_log, latest_log], checkpoint, trigger)
 
 
+def _write_live(positions: DataFrame, track_log: str, latest_log: str, batch_id: int, query_id: str) -> None:
+    write_batch(with_date(positions).drop("arrival"), track_log, batch_id, ["date"], query_id)
+    newest = latest_positions(positions).withColumns(
+        {
+            "hour": F.date_format("updated_at", "yyyy-MM-dd-HH"),
+            "part": F.pmod("mmsi", F.lit(LATEST_PARTS)),
+        }
+    )
+    write_batch(newest, latest_log, batch_id, ["hour"], query_id)
+
+
+def start_live_messages(
+    raw: DataFrame, track_log: str, latest_log: str, reject_log: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """``start_live_positions`` from raw messages, with a log of those that make no position.
+
+    Every message is in the track or among the rejects, which keep its text and the reason.
+    """
+
+    def sink(batch: DataFrame, batch_id: int, query_id: str) -> None:
+        positions, rejects = split_messages(batch)
+        _write_live(positions, track_log, latest_log, batch_id, query_id)
+        write_batch(rejects, reject_log, batch_id, ["reason"], query_id)
+
+    return start_batches(raw, sink, [track_log, latest_log, reject_log], checkpoint, trigger)
+
+
+def read_rejects(spark: SparkSession, reject_log: str) -> DataFrame | None:
+    """Rejected messages with the reason."""
+    rows = read_log_rows(spark, reject_log)
+    return None if rows is None else rows.drop(*STAMPS)
+
+
 def read_latest(spark: SparkSession, latest_log: str) -> DataFrame | None:
     """Latest position of every vessel; late data never moves a vessel back (Q3)."""
     log = read_log_rows(spark, latest_log)
@@ -184,17 +212,19 @@ def start_alerts(
 ) -> StreamingQuery:
     """Alerts with a quiet period that spans micro-batches.
 
-    ``profiles`` is called per batch, so a refreshed profile table is seen. The state of
+    ``profiles`` is called per batch, so a refreshed profile table is seen; ``StoredProfiles``
+    are asked for those of the batch's vessels alone. The state of
     the quiet period is the alert log itself: alerts of earlier batches suppress, those of
     this batch do not count, so a replay emits the same rows.
     """
 
     def sink(batch: DataFrame, batch_id: int, query_id: str) -> None:
         spark = batch.sparkSession
-        found = detect_alerts(batch, profiles()).persist()
+        known = profiles.for_batch(batch) if isinstance(profiles, StoredProfiles) else profiles()
+        found = detect_alerts(batch, known).persist()
         try:
-            known = earlier_alerts(spark, log, batch_id, query_id, _oldest(batch, quiet_seconds))
-            emitted = suppress_after(found, known, quiet_seconds=quiet_seconds)
+            earlier = earlier_alerts(spark, log, batch_id, query_id, _oldest(batch, quiet_seconds))
+            emitted = suppress_after(found, earlier, quiet_seconds=quiet_seconds)
             dated = emitted.withColumn("date", F.to_date("timestamp"))
             write_batch(dated, log, batch_id, ["date"], query_id)
         finally:

@@ -2,7 +2,7 @@
 
 ``python -m seatrace.streaming.run zone_stats --logs DIR --checkpoint DIR [--files DIR]``
 
-Broker, starting offsets, boxes and message types come from the environment. With
+Broker, boxes, message types and where positions start come from the environment. With
 ``--files`` messages are read from a folder of text files instead of the broker.
 ``fold`` merges the closed batches of all logs.
 """
@@ -19,11 +19,12 @@ from seatrace.session import build_session
 from seatrace.settings import bounding_boxes, message_types, stream_settings
 from seatrace.sources.streams import read_message_files, read_topic
 from seatrace.streaming import jobs
+from seatrace.streaming.profiles import StoredProfiles
 
 
-def positions(spark: SparkSession, files: str | None) -> DataFrame:
+def positions(spark: SparkSession, job: str, files: str | None) -> DataFrame:
     """Flat positions of the subscribed boxes and message types."""
-    raw = read_message_files(spark, files) if files else read_topic(spark, **stream_settings())
+    raw = read_message_files(spark, files, arrival=True) if files else read_topic(spark, **stream_settings(job))
     kept = filter_messages(parse_messages(raw), bounding_boxes(), message_types())
     return flatten_positions(kept)
 
@@ -45,7 +46,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     if not options.checkpoint or (options.job == "alerts" and not options.profiles):
         parser.error("a stream needs --checkpoint, and alerts need --profiles")
     trigger = {"availableNow": True} if options.once else None
-    rows = positions(spark, options.files)
+    rows = positions(spark, options.job, options.files)
     if options.job == "positions":
         query = jobs.start_live_positions(
             rows, f"{logs}/track", f"{logs}/latest", options.checkpoint, trigger
@@ -55,7 +56,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     else:
         query = jobs.start_alerts(
             rows,
-            lambda: spark.read.parquet(options.profiles),
+            StoredProfiles(spark, f"{logs}/profiles", lambda: spark.read.parquet(options.profiles)),
             f"{logs}/alerts",
             options.checkpoint,
             trigger,

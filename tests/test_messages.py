@@ -80,7 +80,22 @@ def test_settings():
     now = datetime(2024, 3, 1, 1, tzinfo=timezone.utc)
     assert settings.batch_date({}, now) == date(2024, 2, 29)
     assert settings.batch_date({"BATCH_DATE": "2024-01-15"}) == date(2024, 1, 15)
-    assert settings.stream_settings("earliest", {})["starting_offsets"] == "earliest"
+
+
+def test_where_a_stream_starts():
+    """Positions read the backlog and go on over gaps; the others begin with what comes next."""
+    env = {"KAFKA_STARTING_OFFSETS": "latest", "KAFKA_BROKER": "b:1"}
+    assert settings.stream_settings("positions", {}) == {
+        "broker": settings.DEFAULT_BROKER, "starting_offsets": "earliest", "fail_on_data_loss": False
+    }
+    assert settings.stream_settings("positions", env)["starting_offsets"] == "latest"
+    for job in ("zone_stats", "alerts"):
+        assert settings.stream_settings(job, env | {"KAFKA_STARTING_OFFSETS": "earliest"}) == {
+            "broker": "b:1", "starting_offsets": "latest"
+        }
+        assert "failOnDataLoss" not in broker_options(**settings.stream_settings(job, env))
+    options = broker_options(**settings.stream_settings("positions", {}))
+    assert (options["startingOffsets"], options["failOnDataLoss"]) == ("earliest", "false")
 
 
 def test_broker_options(spark):
