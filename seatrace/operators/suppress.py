@@ -113,7 +113,7 @@ def _kept_times(
             *keys, _start(t, day_us).alias("day"), _start(t, slice_us).alias("slice"), t.alias("t")
         )
         .groupBy(*keys, "day", "slice")
-        .agg(F.sort_array(F.collect_list("t")).alias("times"))
+        .agg(F.sort_array(F.collect_set("t")).alias("times"))
     )
     summed = slices.select(*keys, "day", "slice", _sum_up(quiet)("slice", "times").alias("steps"))
     slice_lists = _in_order(summed, [*keys, "day"], "slice")
