@@ -213,12 +213,13 @@ def test_daily_jobs(spark, tmp_path):
             read = (60 if day == DAY1 else 20) + (name == "vessel_profiles" and day == DAY1)
             assert (run["status"], run["rows_read"]) == ("succeeded", read)
     for name, keys in schema.KEYS.items():
-        if name in ("route_segments", "zone_traffic_hourly", "zone_traffic_daily", "heatmap_tiles", "vessel_profiles", "speed_moments", "job_runs"):
+        if name in ("route_segments", "zone_traffic_hourly", "zone_traffic_daily", "heatmap_tiles", "vessel_profiles", "speed_moments", "zone_hours", "zone_rollup", "job_runs"):
             df = table_of(name)
             assert 0 < df.count() == df.select(*keys).distinct().count(), name
     assert {r.window_date for r in table_of("route_segments").collect()} == {DAY1, DAY2}
     runs = table_of("job_runs")
-    assert runs.count() == 8 and runs.filter("status = 'succeeded'").count() == 8
+    expected = 2 * len(jobs.JOBS)
+    assert runs.count() == expected and runs.filter("status = 'succeeded'").count() == expected
     written = runs.filter("job_name = 'heatmap'").agg(F.sum("rows_written")).first()[0]
     assert written == table_of("heatmap_tiles").count()
 
