@@ -54,7 +54,7 @@ def text_slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
 MAX_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Bytes of an Arrow batch sent to Python, and rows up to which a side is broadcast.
 BATCH_BYTES = 4 << 20
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 100_000
 
 
 def small_batches(spark: SparkSession) -> None:
