@@ -1,9 +1,12 @@
 """Alerts whose quiet period is kept as state of the stream.
 
 ``start_alerts`` reads the alert log on every trigger; here Spark keeps, for each vessel and
-kind of alert that is in its quiet period, the time of the last alert. A key leaves the state
+kind of alert that is in its quiet period, the time of the last alert. It leaves the state
 when event time has passed its quiet period, so the state holds the vessels that were quiet
 lately, not all that ever raised an alert.
+
+A row of the state is a part of the vessels. Calling Python costs some milliseconds a group
+and batch, for alerts as for timeouts: with parts, their number bounds that, not the vessels.
 """
 
 from __future__ import annotations
@@ -26,6 +29,10 @@ from seatrace.streaming.jobs import WATERMARK, start_batches
 
 KEYS = ["mmsi", "type"]
 NEVER = np.iinfo(np.int64).min // 2
+#: Parts that the vessels are dealt to; a prime, as vessel numbers often end in zeros. Spark
+#: finds a checkpoint's state by part, so a change needs a new checkpoint.
+PARTS = 4093
+STATE = "mmsi array<int>, type array<string>, last array<bigint>"
 
 
 def let_through(times: np.ndarray, last: int, quiet: int) -> list[int]:
@@ -41,24 +48,36 @@ def let_through(times: np.ndarray, last: int, quiet: int) -> list[int]:
 def _quiet_period(quiet_seconds: int):
     quiet = quiet_seconds * 1_000_000
 
+    def ends(last: int) -> int:
+        """The first whole millisecond at which a row at the watermark would be let through."""
+        return (last + quiet) // 1000 + 1
+
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        known = {(mmsi, kind): last for mmsi, kind, last in zip(*state.get)} if state.exists else {}
+        if not state.hasTimedOut:
+            rows = pd.concat(list(parts), ignore_index=True)
+            # rows of one instant: the first by its other columns suppresses the others
+            rows = rows.sort_values([*KEYS, "at", "order"], kind="stable", ignore_index=True)
+            times, places = rows["at"].to_numpy(np.int64), []
+            keys = [rows[name].to_numpy() for name in KEYS]
+            changes = np.logical_or.reduce([key[1:] != key[:-1] for key in keys])
+            starts = [0, *(np.flatnonzero(changes) + 1).tolist()]
+            for begin, end in zip(starts, [*starts[1:], len(rows)]):
+                one = (int(keys[0][begin]), keys[1][begin])
+                through = let_through(times[begin:end], known.get(one, NEVER), quiet)
+                if through:
+                    known[one] = int(times[begin + through[-1]])
+                    places += [begin + at for at in through]
+            yield rows.iloc[places].drop(columns=["part", "at", "order"])
+        # only now: rows of this batch may lie behind the watermark that ends quiet periods
+        watermark = state.getCurrentWatermarkMs()
+        known = {one: last for one, last in known.items() if ends(last) > watermark}
+        if known:
+            mmsi, kinds = zip(*known)
+            state.update((list(mmsi), list(kinds), list(known.values())))
+            state.setTimeoutTimestamp(min(map(ends, known.values())))
+        elif state.exists:
             state.remove()
-            return
-        rows = pd.concat(list(parts), ignore_index=True)
-        # rows of one instant: the first by its other columns suppresses the others
-        rows = rows.sort_values(["at", "order"], kind="stable", ignore_index=True)
-        times = rows["at"].to_numpy(np.int64)
-        last = state.get[0] if state.exists else NEVER
-        places = let_through(times, last, quiet)
-        if places:
-            last = int(times[places[-1]])
-            state.update((last,))
-        # the first whole millisecond at which a row at the watermark would be let through,
-        # which must lie ahead of the watermark
-        ends = (last + quiet) // 1000 + 1
-        state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
-        yield rows.iloc[places].drop(columns=["at", "order"])
 
     return step
 
@@ -67,18 +86,25 @@ def quiet_alerts(found: DataFrame, quiet_seconds: int = QUIET_SECONDS, watermark
     """Alerts of a stream that the quiet period lets through.
 
     Equals the sequential walk for alerts that come no later than the watermark allows;
-    Spark drops the others. A group holds one vessel's alerts of one kind in one batch.
+    Spark drops the others. A group holds the alerts of one of ``PARTS`` parts of the vessels
+    in one batch.
     """
     rest = [c for c in found.columns if c not in KEYS]
     marked = found.filter(
         F.col("mmsi").isNotNull() & F.col("type").isNotNull() & F.col("timestamp").isNotNull()
-    ).withColumns({"at": F.unix_micros("timestamp"), "order": F.to_json(F.struct(*rest))})
+    ).withColumns(
+        {
+            "part": F.pmod("mmsi", F.lit(PARTS)),
+            "at": F.unix_micros("timestamp"),
+            "order": F.to_json(F.struct(*rest)),
+        }
+    )
     schema = found.schema
     return (
         marked.withWatermark("timestamp", watermark)
-        .groupBy(*KEYS)
+        .groupBy("part")
         .applyInPandasWithState(
-            _quiet_period(quiet_seconds), schema, "last bigint", "append", GroupStateTimeout.EventTimeTimeout
+            _quiet_period(quiet_seconds), schema, STATE, "append", GroupStateTimeout.EventTimeTimeout
         )
     )
 

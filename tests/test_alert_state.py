@@ -9,7 +9,7 @@ import pytest
 from seatrace.plans.alerts import emitted_alerts
 from seatrace.plans.profiles import vessel_profiles
 from seatrace.streaming import jobs as streams
-from seatrace.streaming.alerts import let_through, start_alerts_state
+from seatrace.streaming.alerts import PARTS, let_through, start_alerts_state
 from seatrace.streaming.profiles import StoredProfiles
 from tests.test_plans import START, positions
 from tests.test_streaming import ONCE, Feed, rows, same
@@ -67,6 +67,27 @@ def test_state_leaves_after_the_quiet_period(spark, tmp_path):
     assert sorted(t for m, t in times if m == 1) == [START, START + timedelta(seconds=3700)]
 
 
+def test_vessels_of_a_part_share_a_call_and_a_row_of_state(spark, tmp_path):
+    """Twenty vessels of one part, each with a quiet period of its own."""
+    feed = Feed(spark, tmp_path / "in")
+
+    def run(some):
+        feed.send(some)
+        query = start(spark, feed, tmp_path)
+        query.awaitTermination()
+        return [p.stateOperators[0].numRowsTotal for p in query.recentProgress][-1]
+
+    crowd = [1 + PARTS * i for i in range(20)]
+    assert run([(m, 10 * i, 38.0, 1.0, 0.0, 0) for i, m in enumerate(crowd)]) == 1
+    # 390 s: the first nine, quiet for 300 s from 0 to 80 s on, raise alerts again
+    assert run([(m, 390 + i // 10, 38.0, 1.0, 0.0, 0) for i, m in enumerate(crowd)]) == 1
+    assert run([(2, 3600, 38.0, 1.0, 0.0, 0)]) == 1  # the crowd's quiet periods are over
+    found = streams.read_alerts(spark, str(tmp_path / "log")).filter("mmsi != 2").collect()
+    times = sorted((r.mmsi, (r.timestamp - START).total_seconds()) for r in found)
+    again = [(m, 390) for m in crowd[:9]]
+    assert times == sorted([(m, 10 * i) for i, m in enumerate(crowd)] + again)
+
+
 def test_profiles_are_computed_once_per_refresh(spark, tmp_path):
     """Six micro-batches within the refresh time: one computation, and few folders opened."""
     feed, computed, now = Feed(spark, tmp_path / "in"), [], [1_700_000_000.0]
