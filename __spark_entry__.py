@@ -194,7 +194,8 @@ class Feed:
     """Positions as a stream that went through message text; a micro-batch for each delivery.
 
     A delivery is as many files as the rows are read in, and a query over all there is takes
-    them in one micro-batch.
+    them in one micro-batch. The positions are derived once and stored by day, so a delivery of
+    some days reads those alone.
     """
 
     def __init__(
@@ -203,7 +204,10 @@ class Feed:
         self.spark, self.folder = spark, _fresh(spark, "feed")
         rows = load_positions(spark, sf_dir) if positions is None else positions
         known = rows.withColumns({"day": F.dayofmonth("recorded_at"), "number": F.col("event_id")})
-        self.messages = to_messages(known, None, ["day", "number", *keep])
+        stored = _fresh(spark, "feed-positions")
+        known.write.partitionBy("day").parquet(stored)
+        table = spark.read.schema(known.schema).parquet(stored)
+        self.messages = to_messages(table, None, ["day", "number", *keep])
 
     def send(self, condition: str) -> None:
         self.messages.filter(condition).select("value").write.mode("append").text(self.folder)
