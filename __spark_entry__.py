@@ -215,11 +215,12 @@ class Feed:
     def positions(self, **options) -> DataFrame:
         return flatten_positions(parse_messages(read_message_files(self.spark, self.folder, **options)))
 
-    def deliver(self, parts: list[str], start: Callable[[DataFrame], StreamingQuery], **options) -> None:
-        """Send part by part, each followed by a run of the query on its own checkpoint."""
+    def deliver(self, parts: list[str], *starts: Callable[[DataFrame], StreamingQuery], **options) -> None:
+        """Send part by part, each followed by a run of every query on its own checkpoint."""
         for part in parts:
             self.send(part)
-            start(self.positions(**options)).awaitTermination()
+            for start in starts:
+                start(self.positions(**options)).awaitTermination()
 
 
 def _stream_zone_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,9 +245,10 @@ def _stream_zone_stats_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days come in reverse, so most rows are behind the watermark; then days are settled."""
     track, latest, log, one, two = (_fresh(spark, name) for name in ("track", "latest", "zone-stats", "c", "c"))
     backwards = SPANS[::-1]
-    Feed(spark, sf_dir).deliver(backwards, lambda rows: streams.start_zone_stats(rows, log, one, ONCE))
     Feed(spark, sf_dir).deliver(
-        backwards, lambda rows: streams.start_live_positions(rows, track, latest, two, ONCE)
+        backwards,
+        lambda rows: streams.start_zone_stats(rows, log, one, ONCE),
+        lambda rows: streams.start_live_positions(rows, track, latest, two, ONCE),
     )
     streams.settle_zone_stats(spark, track, log, 0)
     return streams.read_zone_stats(spark, log)

@@ -44,3 +44,17 @@ def test_deliveries_are_the_messages_of_their_rows(spark, sf_dir):
     feed.send("number % 7 = 0")
     expected = direct.filter("day between 1 and 5").union(direct.filter("event_id % 7 = 0"))
     assert values(spark.read.text(feed.folder)) == values(expected)
+
+
+def test_each_delivery_starts_every_query(spark, sf_dir):
+    feed, seen = registered.Feed(spark, sf_dir), []
+
+    class Done:
+        def awaitTermination(self):
+            pass
+
+    def start(name):
+        return lambda rows: seen.append((name, spark.read.text(feed.folder).count())) or Done()
+
+    feed.deliver(["number < 10", "number >= 10"], start("a"), start("b"))
+    assert seen == [("a", 10), ("b", 10), ("a", 300), ("b", 300)]
