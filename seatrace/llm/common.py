@@ -76,6 +76,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Rows written as Parquet over what is at ``path`` and read again, for the rounds of a loop.
+
+    A checkpoint keeps the size that Spark estimated for its plan, for a join the product of both
+    sides, so with every round that number has some times as many digits. Files have their own size.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

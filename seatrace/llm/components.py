@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatrace.llm.common import checkpointed, ships_by_value
+from seatrace.llm.common import checkpointed, ships_by_value, stored
+from seatrace.session import work_dir
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,12 +19,14 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest root among the neighbours and then follows the root's own
     root, so a path shortens by half. A hub's edges meet only in a join, which adaptive
     execution splits, and in a minimum that is taken before the shuffle. Null ends are
-    ignored; an empty graph gives no rows.
+    ignored; an empty graph gives no rows. Each round's roots are stored in place of those two
+    rounds before; the rows returned are read from the last ones.
     """
     known = edges.select("u", "v").dropna()
     both = checkpointed(known.union(known.select("v", "u")).distinct())
     labels = checkpointed(both.select(F.col("u").alias("node")).distinct().withColumn("root", F.col("node")))
-    while True:
+    folder = f"{work_dir(edges.sparkSession)}/components-{uuid.uuid4().hex}"
+    for number in itertools.count():
         around = (
             both.join(labels, F.col("v") == F.col("node"))
             .groupBy("u")
@@ -30,8 +36,9 @@ def components(edges: DataFrame) -> DataFrame:
             "node", F.col("root").alias("before"), F.least("root", "near").alias("hook")
         )
         ahead = hooked.select(F.col("node").alias("at"), F.col("hook").alias("root"))
-        moved = checkpointed(
-            hooked.join(ahead, F.col("hook") == F.col("at")).select("node", "root", "before")
+        moved = stored(
+            hooked.join(ahead, F.col("hook") == F.col("at")).select("node", "root", "before"),
+            f"{folder}/{number % 2}",
         )
         labels = moved.select("node", "root")
         if moved.filter("root != before").isEmpty():

@@ -1,7 +1,10 @@
+import contextlib
+import io
 import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from seatrace.llm import components, simhash
 from tests.llm.fixtures import collected, documents, texts
@@ -72,3 +75,22 @@ def test_empty(spark):
 def test_components_of_a_long_path(spark):
     edges = spark.range(0, 200).selectExpr("id as u", "id + 1 as v")
     assert set(components.components(edges).select("root").distinct().collect()) == {(0,)}
+
+
+def test_estimates_of_components_do_not_grow_with_the_rounds(spark):
+    """Spark guesses a join at the product of its sides, and a checkpoint keeps the guess: after
+    nine rounds that was a number of thousands of digits."""
+    edges = spark.range(200).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    roots = components.components(edges)
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        roots.explain(mode="cost")
+    sizes = re.findall(r"sizeInBytes=([^,)]+)", plan.getvalue())
+    assert sizes and all(re.fullmatch(r"[\d.]+ (B|KiB)", size) for size in sizes)
+    assert [tuple(r) for r in roots.orderBy("node").collect()] == [(i, 0) for i in range(201)]
+
+
+def test_components_of_several_calls_keep_their_own_rows(spark):
+    """Each call stores its rounds apart, and rows are read when they are asked for."""
+    graphs = [[(1, 2), (2, 3)], [(4, 5), (None, 6), (5, 4), (4, 5)], []]
+    roots = [components.components(spark.createDataFrame(g, "u long, v long")) for g in graphs]
+    assert [collected(r) for r in roots] == [[(1, 1), (2, 1), (3, 1)], [(4, 4), (5, 4)], []]
